@@ -96,3 +96,138 @@ def build_prompt(title: str, text: str) -> str:
 
 
 TOPIC_BOUNDS = (MIN_TOPICS, MAX_TOPICS)
+
+
+# ============================================================ shared CTEs
+from quarry.operators import scrape as S  # noqa: E402
+from quarry.sources import derived as D  # noqa: E402
+
+RUN_TS = D.RUN_TS
+
+
+def cte_urls() -> str:
+    """lines -> urls (list semantics) -> keyed."""
+    return f"""lines AS ({D.sql_url_lines()}),
+urls AS (
+  SELECT min(ord) AS ord, url FROM (SELECT ord, {strip('line')} AS url FROM lines)
+  WHERE url <> '' AND NOT starts_with(url, '#') GROUP BY url),
+keyed AS (SELECT ord, url, {url_key('url')} AS url_key FROM urls)"""
+
+
+def cte_snap() -> str:
+    return f"""snap_rows AS ({D.sql_snapshot_rows()}),
+snap AS (
+  SELECT url, page_id, final_url, http_status, content_type, html, fetch_error FROM (
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id) AS rn FROM (
+      SELECT {url_key('page_url')} AS url, page_id, final_url, http_status, content_type, html, fetch_error
+      FROM snap_rows)) WHERE rn = 1)"""
+
+
+def cte_prior_keys() -> str:
+    return f"""raw_prior AS ({D.sql_raw_prior()}),
+prior_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM raw_prior WHERE url IS NOT NULL AND url <> '')"""
+
+
+def cte_records(todo: str, name: str, min_chars: int, extra: str = "") -> str:
+    """Scrape records of the URLs in CTE ``todo`` (columns ord, url_key)."""
+    err = (f"CASE WHEN NOT valid THEN {q(S.INVALID_URL)} "
+           f"WHEN NOT found THEN {q('http error: ' + S.NO_SNAPSHOT)} "
+           f"WHEN fetch_error IS NOT NULL THEN 'http error: ' || fetch_error "
+           f"WHEN NOT has_html THEN {q(S.EMPTY_HTML)} "
+           f"WHEN nch < {min_chars} THEN {q(S.TOO_SHORT.format(n=min_chars))} END")
+    return f"""{name}_f AS (
+  SELECT t.*, s.final_url, s.http_status AS hs, s.content_type AS ct, s.html, s.fetch_error,
+         (s.url IS NOT NULL) AS found, {url_valid('t.url_key')} AS valid
+  FROM {todo} t LEFT JOIN snap s ON s.url = t.url_key),
+{name}_g AS (
+  SELECT *, valid AND found AND fetch_error IS NULL AS fetch_ok FROM {name}_f),
+{name}_h AS (
+  SELECT *, fetch_ok AND coalesce(html, '') <> '' AS has_html FROM {name}_g),
+{name}_x AS (
+  SELECT *, CASE WHEN has_html THEN {extract_text('html')} END AS xt,
+         CASE WHEN has_html THEN {source_domain('final_url')} END AS source,
+         CASE WHEN has_html THEN {extract_title('html')} END AS title FROM {name}_h),
+{name}_y AS (SELECT *, coalesce(length(xt), 0) AS nch FROM {name}_x),
+{name} AS (
+  SELECT ord, {extra} url_key AS url, source, title,
+         CASE WHEN has_html AND nch >= {min_chars} THEN xt END AS text,
+         {q(RUN_TS)} AS fetched_at,
+         CASE WHEN ({err}) IS NULL THEN 'ok' ELSE 'failed' END AS status,
+         {err} AS error,
+         CAST(CASE WHEN fetch_ok THEN hs END AS INTEGER) AS http_status,
+         CASE WHEN fetch_ok THEN ct END AS content_type,
+         CAST(CASE WHEN has_html THEN nch ELSE 0 END AS INTEGER) AS chars
+  FROM {name}_y)"""
+
+
+RAW_COLS = "ord, url, source, title, text, fetched_at, status, error, http_status, content_type, chars"
+
+SQL: dict[str, str] = {}
+
+SQL["url_list_scan"] = f"WITH {cte_urls()} SELECT ord, url FROM urls"
+SQL["normalize_url"] = f"WITH lines AS ({D.sql_url_lines()}) SELECT ord, line, {url_key('line')} AS url_key FROM lines"
+SQL["source_domain"] = f"SELECT page_id, url, {source_domain('url')} AS source FROM pages"
+SQL["url_validity"] = (f"WITH lines AS ({D.sql_url_lines()}), k AS (SELECT ord, {url_key('line')} AS url_key FROM lines) "
+                       f"SELECT ord, url_key, {url_valid('url_key')} AS valid FROM k")
+SQL["seen_keys"] = f"WITH {cte_prior_keys()} SELECT url_key FROM prior_keys"
+SQL["dedup_first"] = f"""WITH {cte_urls()}
+SELECT url_key, ord, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY ord) AS rn FROM keyed) WHERE rn = 1"""
+SQL["contains_url"] = f"""WITH {cte_urls()}, {cte_prior_keys()}
+SELECT k.ord, k.url_key, (p.url_key IS NOT NULL) AS present
+FROM keyed k LEFT JOIN prior_keys p ON p.url_key = k.url_key"""
+SQL["scrape_limit"] = f"WITH {cte_urls()} SELECT ord, url, url_key FROM keyed ORDER BY ord LIMIT 100"
+SQL["scrape_incremental"] = f"""WITH {cte_urls()}, {cte_prior_keys()},
+first AS (SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key)
+SELECT url_key, ord FROM first ANTI JOIN prior_keys USING (url_key)"""
+SQL["page_scan"] = f"WITH {cte_snap()} SELECT url, page_id, final_url, http_status, content_type, html, fetch_error FROM snap"
+SQL["extract_title"] = f"SELECT page_id, {extract_title('html')} AS title FROM pages"
+SQL["extract_text"] = f"SELECT page_id, {extract_text('html')} AS text FROM pages"
+SQL["text_length"] = f"SELECT page_id, CAST(coalesce(length({extract_text('html')}), 0) AS INTEGER) AS chars FROM pages"
+SQL["min_chars_gate"] = f"""WITH x AS (SELECT page_id, {extract_text('html')} AS t FROM pages),
+y AS (SELECT page_id, t, CAST(coalesce(length(t), 0) AS INTEGER) AS chars FROM x),
+g AS (SELECT * FROM y CROSS JOIN (SELECT unnest([300, 500]) AS min_chars))
+SELECT page_id, min_chars, CASE WHEN chars >= min_chars THEN t END AS text, chars FROM g"""
+SQL["scrape_records"] = f"""WITH {cte_urls()}, {cte_snap()},
+todo AS (SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key),
+{cte_records('todo', 'rec', 500)}
+SELECT {RAW_COLS} FROM rec"""
+_SCRAPE_RUN = f"""WITH {cte_urls()}, {cte_snap()}, {cte_prior_keys()},
+first AS (SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key),
+todo AS (SELECT * FROM first ANTI JOIN prior_keys USING (url_key)),
+{cte_records('todo', 'rec', 500)}"""
+SQL["scrape_run"] = f"{_SCRAPE_RUN} SELECT {RAW_COLS} FROM rec"
+SQL["scrape_summary"] = f"""{_SCRAPE_RUN}
+SELECT count(*) AS total_input, count(r.status) AS added,
+       count(*) FILTER (WHERE r.status = 'ok') AS ok,
+       count(*) FILTER (WHERE r.status = 'failed') AS failed,
+       count(*) FILTER (WHERE r.status IS NULL) AS skipped_existing
+FROM keyed k LEFT JOIN rec r ON r.ord = k.ord"""
+SQL["scrape_single"] = f"""WITH {cte_urls()}, {cte_snap()}, {cte_prior_keys()},
+todo AS (SELECT k.ord, k.url_key, (p.url_key IS NOT NULL) AS in_prior
+         FROM keyed k LEFT JOIN prior_keys p ON p.url_key = k.url_key),
+{cte_records('todo', 'rec', 300, 'in_prior,')}
+SELECT ord, url, 1 AS total,
+       CASE WHEN NOT in_prior AND status = 'ok' THEN 1 ELSE 0 END AS ok,
+       CASE WHEN NOT in_prior AND status <> 'ok' THEN 1 ELSE 0 END AS failed,
+       CASE WHEN in_prior THEN 1 ELSE 0 END AS skipped_existing,
+       CASE WHEN NOT in_prior THEN status END AS status
+FROM rec"""
+
+SQL["knn_batch"] = f"""
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS id, {sq_l2('q.embedding', 'c.embedding')} AS score
+  FROM embeddings q CROSS JOIN embeddings c)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, score, id FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, id) AS rank FROM pairs)
+WHERE rank <= 5"""
+
+SQL["knn_single"] = f"""
+WITH e AS (SELECT vec_id, embedding FROM embeddings),
+probe AS (
+  SELECT list(x ORDER BY pos) AS v FROM (
+    SELECT pos, max(x) AS x FROM (
+      SELECT unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM e) GROUP BY pos)),
+scored AS (SELECT e.vec_id, {sq_l2('probe.v', 'e.embedding')} AS score FROM e CROSS JOIN probe)
+SELECT CAST(row_number() OVER (ORDER BY score, vec_id) AS INTEGER) AS rank, score, vec_id
+FROM scored ORDER BY score, vec_id LIMIT 5"""
