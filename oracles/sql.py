@@ -231,3 +231,137 @@ probe AS (
 scored AS (SELECT e.vec_id, {sq_l2('probe.v', 'e.embedding')} AS score FROM e CROSS JOIN probe)
 SELECT CAST(row_number() OVER (ORDER BY score, vec_id) AS INTEGER) AS rank, score, vec_id
 FROM scored ORDER BY score, vec_id LIMIT 5"""
+
+
+# ============================================================ annotation
+from quarry.operators import annotate as A  # noqa: E402
+
+
+def cte_validated(src: str = "responses") -> str:
+    """Validation of raw model text, column for column with the Spark side."""
+    lo, hi = TOPIC_BOUNDS
+    return f"""responses AS ({D.sql_responses()}),
+rv AS (SELECT doc_id, attempt, raw_text, CASE WHEN json_valid(raw_text) THEN raw_text::JSON END AS j FROM {src}),
+rw AS (SELECT *, json_type(j) AS top, json_type(j, '$.summary') AS st,
+              {strip("json_extract_string(j, '$.summary')")} AS s1, json_type(j, '$.topics') AS tt FROM rv),
+rx AS (SELECT *,
+         CASE WHEN tt = 'ARRAY' THEN coalesce(list_bool_and(list_transform(json_extract(j, '$.topics[*]'),
+              lambda e: json_type(e) = 'VARCHAR')), true) END AS all_str,
+         CASE WHEN tt = 'ARRAY' THEN list_filter(list_transform(json_extract_string(j, '$.topics[*]'),
+              lambda e: lower({strip('e')})), lambda e: e <> '') END AS c0 FROM rw),
+ry AS (SELECT *, list_filter(c0, lambda e, i: NOT list_contains(c0[1:i-1], e)) AS cl FROM rx),
+rz AS (SELECT *, CASE
+         WHEN raw_text IS NULL THEN 'RuntimeError: no model output'
+         WHEN j IS NULL THEN 'ValueError: Invalid JSON from LLM'
+         WHEN top <> 'OBJECT' THEN 'ValidationError: output is not an object'
+         WHEN st IS NULL THEN 'ValidationError: summary: Field required'
+         WHEN st <> 'VARCHAR' THEN 'ValidationError: summary must be a string'
+         WHEN s1 = '' THEN 'ValidationError: summary must not be empty'
+         WHEN tt IS NULL OR tt <> 'ARRAY' THEN 'ValidationError: topics must be a list'
+         WHEN NOT all_str THEN 'ValidationError: topics must be strings'
+         WHEN len(cl) < {lo} OR len(cl) > {hi} THEN 'ValidationError: topics must contain between 3 and 7 items'
+       END AS error FROM ry),
+validated AS (SELECT doc_id, attempt, error IS NULL AS valid, error,
+                     CASE WHEN error IS NULL THEN s1 END AS summary,
+                     CASE WHEN error IS NULL THEN cl END AS topics FROM rz)"""
+
+
+def cte_offline_annotation(src: str, key: str, name: str) -> str:
+    """The default offline annotator: first three sentences; five most
+    frequent 4+ letter words.  Result columns: key, summary, topics, verr."""
+    lo, hi = TOPIC_BOUNDS
+    return f"""{name}_w AS (
+  SELECT {key} AS k, w, count(*) AS n FROM (
+    SELECT {key}, unnest(regexp_extract_all(lower(text), {q(A.TOPIC_TOKEN_RE)})) AS w FROM {src})
+  GROUP BY ALL),
+{name}_t AS (
+  SELECT k, list(w ORDER BY r) AS topics FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC, w) AS r FROM {name}_w)
+  WHERE r <= {A.TOPIC_COUNT} GROUP BY k),
+{name}_s AS (
+  SELECT s.{key} AS k, {strip(f"regexp_extract(s.text, {q(A.SUMMARY_RE)}, 0)")} AS summary,
+         coalesce(t.topics, []) AS topics
+  FROM {src} s LEFT JOIN {name}_t t ON t.k = s.{key}),
+{name} AS (
+  SELECT k, summary, topics, CASE
+    WHEN summary = '' THEN 'ValidationError: summary must not be empty'
+    WHEN len(topics) < {lo} OR len(topics) > {hi} THEN 'ValidationError: topics must contain between 3 and 7 items'
+  END AS verr FROM {name}_s)"""
+
+
+def cte_candidates(with_prior: bool) -> str:
+    prior = ""
+    src = "firsts"
+    if with_prior:
+        prior = f""",
+enriched_prior AS ({D.sql_enriched_prior()}),
+ai_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM enriched_prior WHERE url IS NOT NULL AND url <> ''),
+cands AS (SELECT * FROM firsts ANTI JOIN ai_keys USING (url_key))"""
+        src = "cands"
+    return f"""raw AS ({D.sql_raw_docs()}),
+elig AS (SELECT *, {url_key('url')} AS url_key FROM raw WHERE status = 'ok' AND {strip("coalesce(text, '')")} <> ''),
+firsts AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY ord) AS rn FROM elig) WHERE rn = 1){prior},
+cand AS (SELECT * FROM {src})"""
+
+
+ENRICHED_OUT = f"""ord, url, source, title, text, fetched_at,
+  CASE WHEN verr IS NULL THEN 'ok' ELSE 'failed' END AS status,
+  CASE WHEN verr IS NULL THEN error ELSE 'llm error: ' || verr END AS error,
+  http_status, content_type, chars,
+  CASE WHEN verr IS NULL THEN summary END AS summary,
+  CASE WHEN verr IS NULL THEN array_to_string(topics, ', ') ELSE '' END AS topics,
+  {q(A.DEFAULT_MODEL)} AS llm_model"""
+
+
+def cte_enriched(with_prior: bool) -> str:
+    return f"""{cte_candidates(with_prior)},
+{cte_offline_annotation('cand', 'url_key', 'ann')},
+enriched AS (SELECT c.*, a.summary, a.topics, a.verr FROM cand c LEFT JOIN ann a ON a.k = c.url_key)"""
+
+
+SQL["build_prompt"] = f"WITH raw AS ({D.sql_raw_docs()}) SELECT ord, {build_prompt('title', 'text')} AS prompt FROM raw"
+SQL["parse_response"] = f"WITH responses AS ({D.sql_responses()}) SELECT doc_id, attempt, json_valid(raw_text) AS json_ok FROM responses"
+SQL["validate_response"] = f"WITH {cte_validated()} SELECT doc_id, attempt, valid, error, summary FROM validated"
+SQL["clean_topics"] = f"""WITH {cte_validated()}
+SELECT doc_id, attempt, CAST(len(topics) AS INTEGER) AS n_topics, array_to_string(topics, ', ') AS topics
+FROM validated WHERE valid"""
+SQL["first_valid_attempt"] = f"""WITH {cte_validated()},
+firstok AS (SELECT doc_id, min(attempt) FILTER (WHERE valid) AS ok_attempt, arg_max(error, attempt) AS last_error
+            FROM validated GROUP BY doc_id)
+SELECT f.doc_id, f.ok_attempt IS NOT NULL AS valid, f.ok_attempt AS attempt,
+       CASE WHEN f.ok_attempt IS NULL THEN f.last_error END AS error,
+       v.summary, array_to_string(v.topics, ', ') AS topics
+FROM firstok f LEFT JOIN validated v ON v.doc_id = f.doc_id AND v.attempt = f.ok_attempt"""
+SQL["annotate_batch"] = f"""WITH docs AS (SELECT doc_id, text FROM documents),
+{cte_offline_annotation('docs', 'doc_id', 'ann')}
+SELECT k AS doc_id, verr IS NULL AS valid, verr AS error,
+       CASE WHEN verr IS NULL THEN summary END AS summary,
+       CASE WHEN verr IS NULL THEN array_to_string(topics, ', ') END AS topics
+FROM ann"""
+SQL["eligible_for_analysis"] = f"""WITH raw AS ({D.sql_raw_docs()})
+SELECT ord, url FROM raw WHERE status = 'ok' AND {strip("coalesce(text, '')")} <> ''"""
+SQL["analyze_incremental"] = f"WITH {cte_candidates(True)} SELECT url_key, ord FROM cand"
+SQL["enrich"] = f"WITH {cte_enriched(False)} SELECT {ENRICHED_OUT} FROM enriched"
+SQL["enrich_failures"] = f"""WITH {cte_candidates(False)}, {cte_validated()},
+firstok AS (SELECT {q(D.DOC_URL_PREFIX)} || CAST(doc_id AS VARCHAR) AS k,
+                   min(attempt) FILTER (WHERE valid) AS ok_attempt, arg_max(error, attempt) AS last_error
+            FROM validated GROUP BY doc_id)
+SELECT c.ord, c.url, 'failed' AS status, 'llm error: ' || coalesce(f.last_error, 'RuntimeError: no model output') AS error,
+       CAST(NULL AS VARCHAR) AS summary, '' AS topics, 'replayed' AS llm_model
+FROM cand c LEFT JOIN firstok f ON f.k = c.url_key
+WHERE f.ok_attempt IS NULL"""
+SQL["analyze_run"] = f"WITH {cte_enriched(True)} SELECT {ENRICHED_OUT} FROM enriched"
+SQL["analyze_summary"] = f"""WITH {cte_enriched(True)}, e AS (SELECT {ENRICHED_OUT} FROM enriched)
+SELECT count(*) FILTER (WHERE e.status = 'ok') AS processed,
+       count(*) FILTER (WHERE e.status = 'failed') AS failed,
+       count(*) FILTER (WHERE e.status IS NULL) AS skipped_already
+FROM elig LEFT JOIN e ON e.ord = elig.ord"""
+SQL["analyze_limit"] = f"""WITH {cte_enriched(True)}, e AS (SELECT {ENRICHED_OUT} FROM enriched),
+s AS (SELECT *, coalesce(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) OVER (
+        ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e)
+SELECT * EXCLUDE (before) FROM s WHERE before < 100"""
+SQL["success_limit"] = """WITH s AS (
+  SELECT doc_id, quality, coalesce(sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) OVER (
+    ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM labels)
+SELECT doc_id, quality FROM s WHERE before < 100"""

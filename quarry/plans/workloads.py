@@ -164,3 +164,125 @@ def scrape_summary(spark, d):
 def scrape_single(spark, d):
     urls = url_list(D.url_lines(spark, d))
     return scrape_each(urls, _snapshots(spark, d), D.raw_prior(spark, d), min_chars=300, run_ts=RUN_TS)
+
+
+# ------------------------------------------------------------ annotation
+
+from quarry.functions.analysis import build_prompt as _build_prompt, strict_json  # noqa: E402
+from quarry.operators.annotate import (first_valid_attempt as _first_valid,  # noqa: E402
+                                       offline_annotator, validate_responses)
+from quarry.plans.analyze import analyze as _analyze, annotate_records, candidates  # noqa: E402
+from quarry.plans.analyze import eligible_for_analysis as _eligible  # noqa: E402
+
+
+def _joined(col):
+    return F.array_join(col, ", ")
+
+
+def _enriched_out(df):
+    """ENRICHED records with topics shown joined (", "), as stored in vector
+    metadata; arrays are compared through this text form."""
+    return df.withColumn("topics", _joined(F.col("topics")))
+
+
+def _responses(spark, d):
+    return D.responses(spark, d).select(F.col("doc_id").alias("key"), "attempt", "raw_text",
+                                        F.lit(None).cast("string").alias("call_error"))
+
+
+@register("build_prompt")
+def build_prompt_q(spark, d):
+    raw = D.raw_docs(spark, d)
+    return raw.select("ord", _build_prompt(F.col("title"), F.col("text")).alias("prompt"))
+
+
+@register("parse_response")
+def parse_response(spark, d):
+    r = D.responses(spark, d)
+    return r.select("doc_id", "attempt", strict_json(F.col("raw_text")).isNotNull().alias("json_ok"))
+
+
+@register("validate_response")
+def validate_response(spark, d):
+    v = validate_responses(_responses(spark, d))
+    return v.select(F.col("key").alias("doc_id"), "attempt", "valid", "error", "summary")
+
+
+@register("clean_topics")
+def clean_topics(spark, d):
+    v = validate_responses(_responses(spark, d)).where("valid")
+    return v.select(F.col("key").alias("doc_id"), "attempt", F.size("topics").alias("n_topics"),
+                    _joined(F.col("topics")).alias("topics"))
+
+
+@register("first_valid_attempt")
+def first_valid_attempt_q(spark, d):
+    o = _first_valid(validate_responses(_responses(spark, d)))
+    return o.select(F.col("key").alias("doc_id"), "valid", "attempt", "error", "summary",
+                    _joined(F.col("topics")).alias("topics"))
+
+
+@register("annotate_batch")
+def annotate_batch(spark, d):
+    docs = load(spark, d, "documents").select(F.col("doc_id").alias("key"), "text")
+    o = _first_valid(validate_responses(offline_annotator(docs)))
+    return o.select(F.col("key").alias("doc_id"), "valid", "error", "summary",
+                    _joined(F.col("topics")).alias("topics"))
+
+
+@register("eligible_for_analysis")
+def eligible_for_analysis(spark, d):
+    return _eligible(D.raw_docs(spark, d)).select("ord", "url")
+
+
+@register("analyze_incremental")
+def analyze_incremental(spark, d):
+    _, firsts = candidates(D.raw_docs(spark, d), D.enriched_prior(spark, d))
+    return firsts.select("url_key", "ord")
+
+
+@register("enrich")
+def enrich(spark, d):
+    _, firsts = candidates(D.raw_docs(spark, d), None)
+    return _enriched_out(annotate_records(firsts))
+
+
+@register("enrich_failures")
+def enrich_failures(spark, d):
+    """Failure records (P17) with recorded model responses replayed as the
+    annotator: keys whose three attempts all failed validation."""
+    from quarry.operators.annotate import replay_annotator
+    recorded = D.responses(spark, d).select(
+        F.concat(F.lit(D.DOC_URL_PREFIX), F.col("doc_id").cast("string")).alias("key"),
+        "attempt", "raw_text", F.lit(None).cast("string").alias("call_error"))
+    _, firsts = candidates(D.raw_docs(spark, d), None)
+    rec = annotate_records(firsts, replay_annotator(recorded), model="replayed")
+    return rec.where(F.col("status") == "failed").select("ord", "url", "status", "error", "summary",
+                                                          _joined(F.col("topics")).alias("topics"),
+                                                          "llm_model")
+
+
+def _analyze_run(spark, d, limit=None):
+    return _analyze(D.raw_docs(spark, d), D.enriched_prior(spark, d), limit=limit)
+
+
+@register("analyze_run")
+def analyze_run(spark, d):
+    return _enriched_out(_analyze_run(spark, d).records)
+
+
+@register("analyze_summary")
+def analyze_summary(spark, d):
+    return _analyze_run(spark, d).summary
+
+
+@register("analyze_limit")
+def analyze_limit(spark, d):
+    return _enriched_out(_analyze_run(spark, d, limit=100).records)
+
+
+@register("success_limit")
+def success_limit(spark, d):
+    from quarry.operators.limits import until_successes
+    labels = load(spark, d, "labels").select("doc_id", "quality", F.col("doc_id").alias("ord"))
+    return until_successes(labels, 100, F.col("quality") == 1).select("doc_id", "quality")

@@ -69,3 +69,11 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path) if not path.startswith("/") else path
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint
+    folder, so expensive or non-deterministic stages run once and survive
+    executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -17,6 +17,7 @@ from quarry.sources.tables import load
 # The run timestamp and content type stamped on derived records.
 RUN_TS = "2026-01-01T00:00:00+00:00"
 CONTENT_TYPE = "text/html; charset=utf-8"
+DOC_URL_PREFIX = "https://news.example.org/a/"
 
 # ---------------------------------------------------------------- url lines
 # Two lines per page: a variant of its URL, then an extra line that is a
