@@ -365,3 +365,129 @@ SQL["success_limit"] = """WITH s AS (
   SELECT doc_id, quality, coalesce(sum(CASE WHEN quality = 1 THEN 1 ELSE 0 END) OVER (
     ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM labels)
 SELECT doc_id, quality FROM s WHERE before < 100"""
+
+
+# ============================================================ vectors
+from quarry.functions import vectors as V  # noqa: E402
+from quarry.operators.embed import EMPTY_TEXT  # noqa: E402
+from quarry.plans.search import EMPTY_QUERY  # noqa: E402
+
+
+def sql_tokens(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), {q(V.TOKEN_SPLIT_RE)}), lambda tk_: tk_ <> '')"
+
+
+def sql_embed(src: str, text: str, out: str = "vec", extra_cols: str = "") -> str:
+    """``SELECT *, <vector> AS out FROM src``, staged so that every list is
+    computed once per row (lambda bodies re-evaluate inlined expressions)."""
+    d = V.EMBED_DIM
+    bs = f"list_transform({sql_tokens(text)}, lambda tb_: ('0x' || substr(md5(tb_), 1, 8))::BIGINT % {d})"
+    return f"""SELECT * EXCLUDE (e_b, e_c, e_n),
+  CASE WHEN e_n > 0 THEN list_transform(e_c, lambda c_: CAST(CAST(c_ AS DOUBLE) / e_n AS FLOAT)) END AS {out}
+FROM (SELECT *, sqrt(CAST(list_sum(list_transform(e_c, lambda c_: CAST(c_ AS BIGINT) * c_)) AS DOUBLE)) AS e_n
+  FROM (SELECT *, list_transform(range({d}), lambda bi_: len(list_filter(e_b, lambda by_: by_ = bi_))) AS e_c
+    FROM (SELECT *, {bs} AS e_b FROM {src})))"""
+
+
+def sql_emb_sum(v: str) -> str:
+    return f"list_sum(list_transform({v}, lambda x_: CAST(x_ AS DOUBLE)))"
+
+
+def sql_embedding_text(title: str, summary: str, topics: str) -> str:
+    return (f"concat_ws(chr(10) || chr(10), CASE WHEN {title} <> '' THEN {strip(title)} END, "
+            f"CASE WHEN {summary} <> '' THEN {strip(summary)} END, "
+            f"CASE WHEN coalesce(len({topics}), 0) > 0 THEN {q(V.TOPICS_LABEL)} || array_to_string({topics}, ', ') END)")
+
+
+def sql_is_blank(x: str) -> str:
+    return f"coalesce({strip(x)} = '', true)"
+
+
+def cte_rec(with_prior: bool) -> str:
+    return f"""{cte_enriched(with_prior)},
+rec AS (SELECT ord, url, source, title, text, fetched_at,
+   CASE WHEN verr IS NULL THEN 'ok' ELSE 'failed' END AS status,
+   CASE WHEN verr IS NULL THEN error ELSE 'llm error: ' || verr END AS error,
+   http_status, content_type, chars,
+   CASE WHEN verr IS NULL THEN summary END AS summary,
+   CASE WHEN verr IS NULL THEN topics ELSE CAST([] AS VARCHAR[]) END AS topics,
+   {q(A.DEFAULT_MODEL)} AS llm_model FROM enriched)"""
+
+
+def sql_vdocs(src: str) -> str:
+    return f"""SELECT ord, coalesce(url, '') AS id, {sql_embedding_text('title', 'summary', 'topics')} AS text,
+  url AS m_url, coalesce(title, '') AS m_title, coalesce(source, '') AS m_source,
+  substr(coalesce(summary, ''), 1, {V.SUMMARY_CAP}) AS m_summary,
+  coalesce(array_to_string(topics, ', '), '') AS m_topics,
+  CAST(coalesce(len(topics), 0) AS INTEGER) AS m_topic_count FROM {src}"""
+
+
+META_OUT = "m_url AS url, m_title AS title, m_source AS source, m_summary AS summary, m_topics AS topics, m_topic_count AS topic_count"
+
+
+def cte_index(with_prior: bool) -> str:
+    prior = ""
+    src = "ix_first"
+    if with_prior:
+        prior = f""",
+vector_prior AS ({D.sql_vector_prior()}),
+ix_new AS (SELECT * FROM ix_first ANTI JOIN vector_prior USING (id))"""
+        src = "ix_new"
+    return f"""{cte_rec(False)},
+ix_elig AS (SELECT * FROM rec WHERE status = 'ok' AND coalesce(summary <> '', false)),
+ix_docs AS ({sql_vdocs('ix_elig')}),
+ix_b AS (SELECT *, {sql_is_blank('text')} AS blank FROM ix_docs),
+ix_first AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord) AS rn FROM ix_b WHERE NOT blank) WHERE rn = 1){prior},
+ix_emb AS ({sql_embed(src, 'text')}),
+ix_rows AS (
+  SELECT * EXCLUDE (blank, vec), vec, CASE WHEN vec IS NULL OR len(vec) <> {V.EMBED_DIM}
+    THEN 'RuntimeError: Invalid embedding response' END AS error FROM ix_emb
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (blank), CAST(NULL AS FLOAT[]) AS vec, {q(EMPTY_TEXT)} AS error FROM ix_b WHERE blank),
+ix AS (SELECT *, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status FROM ix_rows)"""
+
+
+SQL["embedding_text"] = f"WITH {cte_rec(False)}, vd AS ({sql_vdocs('rec')}) SELECT ord, id, text FROM vd"
+SQL["vector_document"] = f"WITH {cte_rec(False)}, vd AS ({sql_vdocs('rec')}) SELECT ord, id, text, {META_OUT} FROM vd"
+SQL["flatten_metadata"] = f"""WITH {cte_rec(False)}
+SELECT ord, url, title, array_to_string(topics, ', ') AS topics, chars, status FROM rec"""
+SQL["result_preview"] = f"""SELECT doc_id,
+  CASE WHEN length(text) > {V.PREVIEW_CHARS} THEN substr(text, 1, {V.PREVIEW_CHARS}) || {q(V.PREVIEW_MARK)} ELSE text END AS preview,
+  printf('%.4f', CAST(n_chars AS DOUBLE) / 7.0) AS score_text FROM documents"""
+SQL["embedding_guard"] = f"""WITH {cte_rec(False)}, vd AS ({sql_vdocs('rec')})
+SELECT ord, id, {sql_is_blank('text')} AS blank, CASE WHEN {sql_is_blank('text')} THEN {q(EMPTY_TEXT)} END AS error FROM vd"""
+SQL["vector_validity"] = f"SELECT vec_id, coalesce(embedding IS NOT NULL AND len(embedding) = {V.EMBED_DIM}, false) AS ok FROM embeddings"
+SQL["embed_batch"] = f"""WITH x0 AS (SELECT doc_id, text, CAST(len({sql_tokens('text')}) AS INTEGER) AS n_tokens FROM documents),
+x AS ({sql_embed('x0', 'text', 'v')})
+SELECT doc_id, n_tokens, {sql_emb_sum('v')} AS emb_sum,
+  CASE WHEN {sql_is_blank('text')} THEN {q(EMPTY_TEXT)}
+       WHEN v IS NULL OR len(v) <> {V.EMBED_DIM} THEN 'RuntimeError: Invalid embedding response' END AS embed_error
+FROM x"""
+SQL["eligible_for_index"] = f"WITH {cte_rec(False)} SELECT ord, url FROM rec WHERE status = 'ok' AND coalesce(summary <> '', false)"
+SQL["index_incremental"] = f"WITH {cte_index(True)} SELECT id, ord FROM ix_new"
+_IX_OUT = f"ord, id, text, status, error, {META_OUT}, {sql_emb_sum('vec')} AS emb_sum"
+SQL["index_run"] = f"WITH {cte_index(True)} SELECT {_IX_OUT} FROM ix"
+SQL["index_summary"] = f"""WITH {cte_index(True)}
+SELECT count(*) FILTER (WHERE ix.status = 'ok') AS added,
+       count(*) FILTER (WHERE r.status = 'ok' AND coalesce(r.summary <> '', false) AND ix.status IS NULL) AS skipped_existing,
+       count(*) FILTER (WHERE NOT (r.status = 'ok' AND coalesce(r.summary <> '', false))) AS skipped_ineligible,
+       count(*) FILTER (WHERE ix.status = 'failed') AS failed
+FROM rec r LEFT JOIN ix ON ix.ord = r.ord"""
+SQL["index_limit"] = f"""WITH {cte_index(True)},
+s AS (SELECT *, coalesce(sum(CASE WHEN status = 'ok' THEN 1 ELSE 0 END) OVER (
+        ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ix)
+SELECT {_IX_OUT} FROM s WHERE before < 100"""
+SQL["query_guard"] = f"""WITH raw AS ({D.sql_raw_docs()})
+SELECT ord AS query_id, {q(EMPTY_QUERY)} AS error FROM raw WHERE {sql_is_blank('title')}"""
+SQL["search_run"] = f"""WITH {cte_index(False)},
+vec AS (SELECT * FROM ix WHERE status = 'ok'),
+qs AS (SELECT ord AS query_id, title AS query FROM raw WHERE NOT {sql_is_blank('title')}),
+qv AS ({sql_embed('qs', 'query', 'qvec')}),
+qok AS (SELECT * FROM qv WHERE qvec IS NOT NULL AND len(qvec) = {V.EMBED_DIM}),
+pairs AS (SELECT qok.query_id, vec.id, {sq_l2('qok.qvec', 'vec.vec')} AS score FROM qok CROSS JOIN vec),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, id) AS rank FROM pairs) WHERE rank <= 5)
+SELECT t.query_id, CAST(t.rank AS INTEGER) AS rank, t.score, t.id, printf('%.4f', t.score) AS score_text,
+  CASE WHEN length(v.text) > {V.PREVIEW_CHARS} THEN substr(v.text, 1, {V.PREVIEW_CHARS}) || {q(V.PREVIEW_MARK)} ELSE v.text END AS preview,
+  v.m_title AS title, v.m_topics AS topics
+FROM top t JOIN vec v ON v.id = t.id"""

@@ -286,3 +286,131 @@ def success_limit(spark, d):
     from quarry.operators.limits import until_successes
     labels = load(spark, d, "labels").select("doc_id", "quality", F.col("doc_id").alias("ord"))
     return until_successes(labels, 100, F.col("quality") == 1).select("doc_id", "quality")
+
+
+# ------------------------------------------------------------ vectors
+
+from quarry.functions.text import is_blank as _is_blank  # noqa: E402
+from quarry.functions.vectors import (bucket_counts, flatten_metadata, hashed_embedding,  # noqa: E402
+                                      preview, score_text, tokens, vector_ok)
+from quarry.operators.embed import EMPTY_TEXT  # noqa: E402
+from quarry.plans.index import eligible_for_index as _elig_index, index as _index  # noqa: E402
+from quarry.plans.index import vector_documents  # noqa: E402
+from quarry.plans.search import search as _search  # noqa: E402
+
+
+def _emb_sum(col):
+    return F.aggregate(col, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double"))
+
+
+def _enriched_all(spark, d):
+    _, firsts = candidates(D.raw_docs(spark, d), None)
+    return annotate_records(firsts)
+
+
+def _meta_cols(m="metadata"):
+    return [F.col(f"{m}.{c}").alias(c) for c in ("url", "title", "source", "summary", "topics", "topic_count")]
+
+
+@register("embedding_text")
+def embedding_text_q(spark, d):
+    return vector_documents(_enriched_all(spark, d)).select("ord", "id", "text")
+
+
+@register("vector_document")
+def vector_document_q(spark, d):
+    return vector_documents(_enriched_all(spark, d)).select("ord", "id", "text", *_meta_cols())
+
+
+@register("flatten_metadata")
+def flatten_metadata_q(spark, d):
+    e = _enriched_all(spark, d)
+    s = e.select("ord", F.struct("url", "title", "topics", "chars", "status").alias("m"))
+    flat = flatten_metadata(F.col("m"), s.schema["m"].dataType)
+    return s.select("ord", flat.alias("f")).select("ord", "f.*")
+
+
+@register("result_preview")
+def result_preview(spark, d):
+    docs = load(spark, d, "documents")
+    return docs.select("doc_id", preview(F.col("text")).alias("preview"),
+                       score_text(F.col("n_chars").cast("double") / F.lit(7.0)).alias("score_text"))
+
+
+@register("embedding_guard")
+def embedding_guard(spark, d):
+    v = vector_documents(_enriched_all(spark, d))
+    return v.select("ord", "id", _is_blank(F.col("text")).alias("blank"),
+                    F.when(_is_blank(F.col("text")), F.lit(EMPTY_TEXT)).alias("error"))
+
+
+@register("vector_validity")
+def vector_validity(spark, d):
+    emb = load(spark, d, "embeddings")
+    return emb.select("vec_id", vector_ok(F.col("embedding")).alias("ok"))
+
+
+@register("embed_batch")
+def embed_batch(spark, d):
+    from quarry.operators.embed import embed as _embed
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    x = _embed(docs, "text").select("doc_id", F.size(tokens(F.col("text"))).alias("n_tokens"),
+                                     _emb_sum(F.col("embedding")).alias("emb_sum"), "embed_error")
+    return x
+
+
+@register("eligible_for_index")
+def eligible_for_index_q(spark, d):
+    return _elig_index(_enriched_all(spark, d)).select("ord", "url")
+
+
+@register("index_incremental")
+def index_incremental(spark, d):
+    docs = vector_documents(_elig_index(_enriched_all(spark, d)))
+    firsts = first_wins(docs.where(~_is_blank(F.col("text"))), "id", "ord")
+    return only_new(firsts, D.vector_prior(spark, d), "id").select("id", "ord")
+
+
+def _index_run(spark, d, prior=True, limit=None):
+    return _index(_enriched_all(spark, d), D.vector_prior(spark, d) if prior else None, limit=limit)
+
+
+def _vector_rows_out(rows):
+    return rows.select("ord", "id", "text", "status", "error", *_meta_cols(), _emb_sum(F.col("embedding")).alias("emb_sum"))
+
+
+@register("index_run")
+def index_run(spark, d):
+    return _vector_rows_out(_index_run(spark, d).rows)
+
+
+@register("index_summary")
+def index_summary(spark, d):
+    return _index_run(spark, d).summary
+
+
+@register("index_limit")
+def index_limit(spark, d):
+    return _vector_rows_out(_index_run(spark, d, limit=100).rows)
+
+
+def _queries(spark, d):
+    return D.raw_docs(spark, d).select(F.col("ord").alias("query_id"), F.col("title").alias("query"))
+
+
+@register("query_guard")
+def query_guard(spark, d):
+    q = _queries(spark, d)
+    return q.where(_is_blank(F.col("query"))).select("query_id", F.lit("ValueError: Query must not be empty").alias("error"))
+
+
+def _search_run(spark, d):
+    vectors = _index_run(spark, d, prior=False).rows.where(F.col("status") == "ok")
+    return _search(vectors, _queries(spark, d), 5)
+
+
+@register("search_run")
+def search_run(spark, d):
+    hits = _search_run(spark, d).hits
+    return hits.select("query_id", "rank", "score", "id", "score_text", "preview",
+                       F.col("metadata.title").alias("title"), F.col("metadata.topics").alias("topics"))
