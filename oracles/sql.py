@@ -491,3 +491,66 @@ SELECT t.query_id, CAST(t.rank AS INTEGER) AS rank, t.score, t.id, printf('%.4f'
   CASE WHEN length(v.text) > {V.PREVIEW_CHARS} THEN substr(v.text, 1, {V.PREVIEW_CHARS}) || {q(V.PREVIEW_MARK)} ELSE v.text END AS preview,
   v.m_title AS title, v.m_topics AS topics
 FROM top t JOIN vec v ON v.id = t.id"""
+
+
+# ============================================================ ingest, lookups, unions
+
+SQL["latest_ok"] = f"""WITH v AS ({D.sql_versions()}),
+k AS (SELECT *, {url_key('url')} AS url_key FROM v WHERE status = 'ok' AND NOT {sql_is_blank('text')})
+SELECT url_key, ord, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY ord DESC) AS rn FROM k) WHERE rn = 1"""
+
+SQL["classify_outcome"] = f"""{_SCRAPE_RUN}
+SELECT k.ord, k.url_key, CASE WHEN r.status = 'ok' THEN 'new_ok' WHEN r.status = 'failed' THEN 'new_failed'
+  WHEN p.url_key IS NOT NULL THEN 'skipped_existing' ELSE 'duplicate' END AS outcome
+FROM keyed k LEFT JOIN rec r ON r.ord = k.ord LEFT JOIN prior_keys p ON p.url_key = k.url_key"""
+
+SQL["append_union"] = f"""{_SCRAPE_RUN}
+SELECT ord, url, status FROM raw_prior
+UNION ALL SELECT ord + 1099511627776 AS ord, url, status FROM rec"""
+
+
+def _ingest_sql() -> str:
+    vd_text = sql_embedding_text('title', 'summary', 'topics')
+    return f"""WITH {cte_urls()}, {cte_snap()}, {cte_prior_keys()},
+keys AS (SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key),
+ai_prior AS ({D.sql_ingest_ai_prior()}),
+vprior AS ({D.sql_ingest_vector_prior()}),
+ai_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM ai_prior WHERE url IS NOT NULL AND url <> ''),
+vkeys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM vprior),
+kk AS (SELECT keys.url_key, keys.ord, a.url_key IS NOT NULL AS analysed, p.url_key IS NOT NULL AS scraped
+       FROM keys LEFT JOIN ai_keys a ON a.url_key = keys.url_key LEFT JOIN prior_keys p ON p.url_key = keys.url_key),
+work AS (SELECT * FROM kk WHERE NOT analysed),
+todo AS (SELECT ord, url_key FROM work WHERE NOT scraped),
+{cte_records('todo', 'newrec', 300)},
+allraw AS (SELECT ord, url, status, title, text FROM raw_prior
+           UNION ALL SELECT ord + 1099511627776, url, status, title, text FROM newrec),
+usable AS (SELECT *, {url_key('url')} AS url_key FROM allraw WHERE status = 'ok' AND NOT {sql_is_blank('text')}),
+latest AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_key ORDER BY ord DESC) AS rn FROM usable) WHERE rn = 1),
+cand AS (SELECT * FROM latest SEMI JOIN work USING (url_key)),
+{cte_offline_annotation('cand', 'url_key', 'ann')},
+ai AS (SELECT c.url_key, c.title, a.summary, a.topics, a.verr FROM cand c LEFT JOIN ann a ON a.k = c.url_key),
+docs AS (SELECT url_key, {vd_text} AS text FROM ai WHERE verr IS NULL AND NOT {sql_is_blank('summary')}),
+docs2 AS (SELECT docs.*, v.url_key IS NOT NULL AS stored FROM docs LEFT JOIN vkeys v ON v.url_key = docs.url_key),
+emb0 AS (SELECT * FROM docs2 WHERE NOT stored),
+emb AS ({sql_embed('emb0', 'text')}),
+embr AS (SELECT url_key, CASE WHEN {sql_is_blank('text')} THEN 'x' WHEN vec IS NULL OR len(vec) <> {V.EMBED_DIM} THEN 'x' END AS embed_error FROM emb),
+st AS (
+  SELECT w.url_key, l.url_key IS NOT NULL AS has_raw,
+         CASE WHEN ai.url_key IS NULL THEN NULL WHEN ai.verr IS NULL THEN 'ok' ELSE 'failed' END AS ai_status,
+         d.stored, e.embed_error
+  FROM work w LEFT JOIN latest l ON l.url_key = w.url_key LEFT JOIN ai ON ai.url_key = w.url_key
+       LEFT JOIN docs2 d ON d.url_key = w.url_key LEFT JOIN embr e ON e.url_key = w.url_key),
+st2 AS (SELECT *, CASE WHEN NOT has_raw THEN 'scrape' WHEN ai_status <> 'ok' THEN 'analyze'
+                       WHEN stored IS NULL THEN 'index' WHEN NOT stored AND embed_error IS NOT NULL THEN 'index' END AS stage
+        FROM st)
+SELECT url_key, CASE WHEN stage IS NULL THEN 'ok' ELSE 'failed' END AS status, stage, false AS skipped,
+       CAST(NULL AS VARCHAR) AS reason,
+       CAST(CASE WHEN stage IS NULL AND NOT stored THEN 1 WHEN stage IS NULL THEN 0 END AS INTEGER) AS index_added
+FROM st2
+UNION ALL
+SELECT url_key, 'ok', CAST(NULL AS VARCHAR), true, 'already_analyzed', CAST(NULL AS INTEGER) FROM kk WHERE analysed"""
+
+
+SQL["ingest_run"] = _ingest_sql()

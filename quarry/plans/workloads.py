@@ -414,3 +414,46 @@ def search_run(spark, d):
     hits = _search_run(spark, d).hits
     return hits.select("query_id", "rank", "score", "id", "score_text", "preview",
                        F.col("metadata.title").alias("title"), F.col("metadata.topics").alias("topics"))
+
+
+# ------------------------------------------------------------ ingest, lookups, unions
+
+from quarry.operators.dedup import latest_matching  # noqa: E402
+from quarry.operators.incremental import append as _append  # noqa: E402
+from quarry.plans.ingest import ingest as _ingest  # noqa: E402
+
+
+@register("latest_ok")
+def latest_ok(spark, d):
+    v = D.versions(spark, d).withColumn("url_key", url_key(F.col("url")))
+    pred = (F.col("status") == "ok") & ~_is_blank(F.col("text"))
+    return latest_matching(v, "url_key", pred).select("url_key", "ord", "text")
+
+
+@register("classify_outcome")
+def classify_outcome(spark, d):
+    """Outcome of every listed URL in a scrape run: new_ok, new_failed,
+    skipped_existing (scraped earlier) or duplicate (earlier in the list)."""
+    keyed = _keyed(spark, d).select("ord", "url_key")
+    run = _scrape_run(spark, d).records.select("ord", F.col("status").alias("new_status"))
+    prior = seen_keys(D.raw_prior(spark, d))
+    x = flag_existing(keyed, prior, "url_key", "in_prior").join(run, "ord", "left")
+    outcome = (F.when(F.col("new_status") == "ok", "new_ok")
+                .when(F.col("new_status") == "failed", "new_failed")
+                .when(F.col("in_prior"), "skipped_existing")
+                .otherwise("duplicate"))
+    return x.select("ord", "url_key", outcome.alias("outcome"))
+
+
+@register("append_union")
+def append_union(spark, d):
+    prior = D.raw_prior(spark, d).select("ord", "url", "status")
+    new = _scrape_run(spark, d).records.select((F.col("ord") + F.lit(1 << 40)).alias("ord"), "url", "status")
+    return _append(prior, new)
+
+
+@register("ingest_run")
+def ingest_run(spark, d):
+    keys = _keyed(spark, d).groupBy("url_key").agg(F.min("ord").alias("ord"))
+    return _ingest(keys, _snapshots(spark, d), D.raw_prior(spark, d), D.ingest_ai_prior(spark, d),
+                   D.ingest_vector_prior(spark, d), min_chars=300, run_ts=RUN_TS)

@@ -69,8 +69,19 @@ RAW_PRIOR_EXPRS = [
     "page_id AS ord",
     "CASE WHEN page_id % 8 = 4 THEN url || '/' ELSE url END AS url",
     "CASE WHEN page_id % 3 = 0 THEN 'failed' ELSE 'ok' END AS status",
+    "'Earlier title ' || CAST(page_id AS STRING) AS title",
+    """CASE WHEN page_id % 3 = 0 THEN CAST(NULL AS STRING)
+            WHEN page_id % 8 = 4 THEN '   '
+            ELSE 'Earlier scraped article number ' || CAST(page_id AS STRING) ||
+                 '. It reports on regional markets and weather. Markets rallied while weather stayed calm.'
+       END AS text""",
 ]
 
+# Keys an earlier ingest already analysed, and ids already indexed, for
+# end-to-end ingest over the page URLs.
+INGEST_AI_PRIOR_WHERE = "page_id % 12 = 0"
+INGEST_VECTOR_PRIOR_WHERE = "page_id % 16 = 3"
+
 # --------------------------------------------------- raw articles from docs
 # Documents as raw scrape output: short ones failed the length gate; a few
 # titles are missing or blank; every tenth URL repeats the previous one with
@@ -167,6 +178,14 @@ def raw_prior(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "pages").where(RAW_PRIOR_WHERE).selectExpr(*RAW_PRIOR_EXPRS)
 
 
+def ingest_ai_prior(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "pages").where(INGEST_AI_PRIOR_WHERE).selectExpr("page_id AS ord", "url")
+
+
+def ingest_vector_prior(spark: SparkSession, d: str) -> DataFrame:
+    return load(spark, d, "pages").where(INGEST_VECTOR_PRIOR_WHERE).selectExpr("url")
+
+
 def raw_docs(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "documents").selectExpr(*RAW_DOC_EXPRS)
 
@@ -209,6 +228,14 @@ def sql_raw_prior() -> str:
     return sql_select("pages", RAW_PRIOR_EXPRS, RAW_PRIOR_WHERE)
 
 
+def sql_ingest_ai_prior() -> str:
+    return sql_select("pages", ["page_id AS ord", "url"], INGEST_AI_PRIOR_WHERE)
+
+
+def sql_ingest_vector_prior() -> str:
+    return sql_select("pages", ["url"], INGEST_VECTOR_PRIOR_WHERE)
+
+
 def sql_raw_docs() -> str:
     return sql_select("documents", RAW_DOC_EXPRS)
 
