@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.text import strip
+from quarry.functions.text import bind, strip
 
 # The instruction texts sent with every article.  They must be
 # identical to the reference's for the same model behaviour.
@@ -64,32 +64,40 @@ def validate_analysis(raw: Column) -> Column:
     Rules: the text is one JSON object; ``summary`` is a string that is not
     blank (stored stripped); ``topics`` is a list of strings which, after
     strip + lower, dropping empties and first-seen de-duplication, has 3..7
-    items.  Unknown keys are ignored."""
-    v = strict_json(raw)
-    top = _vtype(v)
-    summary_v = F.try_variant_get(v, "$.summary", "variant")
-    summary_t = _vtype(summary_v)
-    summary = strip(F.try_variant_get(v, "$.summary", "string"))
-    topics_v = F.try_variant_get(v, "$.topics", "array<variant>")
-    all_str = F.forall(topics_v, lambda x: F.coalesce(_vtype(x) == "STRING", F.lit(False)))
-    topics_raw = F.transform(topics_v, lambda x: F.try_variant_get(x, "$", "string"))
-    cleaned = F.array_distinct(F.filter(F.transform(topics_raw, lambda t: F.lower(strip(t))),
-                                        lambda t: t != ""))
-    n = F.size(cleaned)
-    error = (F.when(raw.isNull(), F.lit("RuntimeError: no model output"))
-             .when(v.isNull(), F.lit("ValueError: Invalid JSON from LLM"))
-             .when(~top.startswith("OBJECT"), F.lit("ValidationError: output is not an object"))
-             .when(summary_v.isNull(), F.lit("ValidationError: summary: Field required"))
-             .when(summary_t != "STRING", F.lit("ValidationError: summary must be a string"))
-             .when(summary == "", F.lit("ValidationError: summary must not be empty"))
-             .when(topics_v.isNull(), F.lit("ValidationError: topics must be a list"))
-             .when(~all_str, F.lit("ValidationError: topics must be strings"))
-             .when((n < MIN_TOPICS) | (n > MAX_TOPICS),
-                   F.lit("ValidationError: topics must contain between 3 and 7 items")))
-    valid = error.isNull()
-    return F.struct(
-        valid.alias("valid"),
-        error.alias("error"),
-        F.when(valid, summary).alias("summary"),
-        F.when(valid, cleaned).alias("topics"),
-    )
+    items.  Unknown keys are ignored.  Every intermediate is bound once."""
+
+    def parts(v: Column) -> Column:
+        topics_v = F.try_variant_get(v, "$.topics", "array<variant>")
+        topics_raw = F.transform(topics_v, lambda x: F.try_variant_get(x, "$", "string"))
+        cleaned = F.array_distinct(F.filter(F.transform(topics_raw, lambda t: F.lower(strip(t))),
+                                            lambda t: t != ""))
+        summary_v = F.try_variant_get(v, "$.summary", "variant")
+        return F.struct(
+            v.isNull().alias("bad_json"),
+            _vtype(v).alias("top"),
+            summary_v.isNull().alias("no_summary"),
+            _vtype(summary_v).alias("summary_t"),
+            strip(F.try_variant_get(v, "$.summary", "string")).alias("summary"),
+            topics_v.isNull().alias("no_topics"),
+            F.forall(topics_v, lambda x: F.coalesce(_vtype(x) == "STRING", F.lit(False))).alias("all_str"),
+            cleaned.alias("topics"),
+        )
+
+    def verdict(p: Column) -> Column:
+        n = F.size(p["topics"])
+        error = (F.when(raw.isNull(), F.lit("RuntimeError: no model output"))
+                 .when(p["bad_json"], F.lit("ValueError: Invalid JSON from LLM"))
+                 .when(~p["top"].startswith("OBJECT"), F.lit("ValidationError: output is not an object"))
+                 .when(p["no_summary"], F.lit("ValidationError: summary: Field required"))
+                 .when(p["summary_t"] != "STRING", F.lit("ValidationError: summary must be a string"))
+                 .when(p["summary"] == "", F.lit("ValidationError: summary must not be empty"))
+                 .when(p["no_topics"], F.lit("ValidationError: topics must be a list"))
+                 .when(~p["all_str"], F.lit("ValidationError: topics must be strings"))
+                 .when((n < MIN_TOPICS) | (n > MAX_TOPICS),
+                       F.lit("ValidationError: topics must contain between 3 and 7 items")))
+        return bind(error, lambda e: F.struct(
+            e.isNull().alias("valid"), e.alias("error"),
+            F.when(e.isNull(), p["summary"]).alias("summary"),
+            F.when(e.isNull(), p["topics"]).alias("topics")))
+
+    return bind(bind(strict_json(raw), parts), verdict)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.text import strip
+from quarry.functions.text import bind, strip
 
 # The patterns and entity table of the extraction spec above.
 COMMENT_RE = r"(?s)<!--.*?-->"
@@ -72,12 +72,15 @@ def _nonempty(col: Column) -> Column:
 
 def main_html(html: Column) -> Column:
     """Inner HTML of the main content container, boilerplate removed."""
-    h = F.regexp_replace(html, COMMENT_RE, "")
-    h = F.regexp_replace(h, BOILERPLATE_RE, "")
-    candidates = [_nonempty(F.regexp_extract(h, container_re(t), 1)) for t in CONTAINER_TAGS]
-    candidates.append(_nonempty(F.regexp_extract(h, BODY_RE, 1)))
-    candidates.append(h)
-    return F.coalesce(*candidates)
+    cleaned = F.regexp_replace(F.regexp_replace(html, COMMENT_RE, ""), BOILERPLATE_RE, "")
+
+    def pick(h: Column) -> Column:
+        candidates = [_nonempty(F.regexp_extract(h, container_re(t), 1)) for t in CONTAINER_TAGS]
+        candidates.append(_nonempty(F.regexp_extract(h, BODY_RE, 1)))
+        candidates.append(h)
+        return F.coalesce(*candidates)
+
+    return bind(cleaned, pick)
 
 
 def extract_text(html: Column) -> Column:

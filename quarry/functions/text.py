@@ -27,3 +27,14 @@ def not_blank(col: Column) -> Column:
 def sql_whitespace_literal() -> str:
     """The same whitespace set as a DuckDB expression (chr() concatenation)."""
     return "(" + " || ".join(f"chr({ord(c)})" for c in PY_WHITESPACE) + ")"
+
+
+def bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body``.
+
+    Catalyst copies a sub-expression every time a Column is reused, and it
+    shares nothing inside lambda functions, so an expensive intermediate used
+    several times would be evaluated several times per row (and can grow the
+    generated code past the JVM method limit).  Binding it to a lambda
+    variable evaluates it exactly once."""
+    return F.element_at(F.transform(F.array(value), body), 1)

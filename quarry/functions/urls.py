@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.text import strip
+from quarry.functions.text import bind, strip
 
 # URL grammar pieces (RFC 3986 scheme syntax, C0 controls that a
 # URL splitter strips, and the maximum accepted URL length).
@@ -33,13 +33,16 @@ def url_key(url: Column) -> Column:
     s = F.regexp_replace(s, UNSAFE_RE, "")
     s = F.regexp_replace(s, FRAGMENT_RE, "")
     s = F.regexp_replace(s, EMPTY_QUERY_RE, "$1")
-    scheme = F.regexp_extract(s, SCHEME_RE, 1)
-    s = F.when(scheme == "", s).otherwise(
-        F.concat(F.lower(scheme), s.substr(F.length(scheme) + 1, F.lit(2 ** 31 - 1))))
-    path = F.regexp_extract(s, PATH_RE, 1)
-    drop = s.endswith("/") & ~path.isin("", "/")
-    return F.when(url.isNull(), F.lit(None).cast("string")).when(
-        drop, s.substr(F.lit(1), F.length(s) - 1)).otherwise(s)
+
+    def with_scheme(s: Column) -> Column:
+        return bind(F.regexp_extract(s, SCHEME_RE, 1), lambda sc: F.when(sc == "", s).otherwise(
+            F.concat(F.lower(sc), s.substr(F.length(sc) + 1, F.lit(2 ** 31 - 1)))))
+
+    def drop_slash(k: Column) -> Column:
+        drop = k.endswith("/") & ~F.regexp_extract(k, PATH_RE, 1).isin("", "/")
+        return F.when(drop, k.substr(F.lit(1), F.length(k) - 1)).otherwise(k)
+
+    return F.when(url.isNotNull(), bind(bind(s, with_scheme), drop_slash))
 
 
 def source_domain(url: Column) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarry.functions.text import strip
+from quarry.functions.text import bind, strip
 
 # Metadata summary cap, preview length and marker, score format.
 SUMMARY_CAP = 2000
@@ -68,13 +68,6 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), TOKEN_SPLIT_RE), lambda t: t != "")
 
 
-def bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it inside ``body`` (Spark does not
-    share common subexpressions inside lambda functions, so a value used in
-    a per-element lambda would otherwise be recomputed per element)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def bucket_counts(text: Column, dim: int = EMBED_DIM) -> Column:
     """Term counts hashed into ``dim`` buckets: bucket = first 8 hex digits of
     md5(token) mod dim.  Each token becomes one character coding its bucket,

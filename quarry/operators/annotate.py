@@ -110,13 +110,14 @@ def _quick_ok(answer) -> bool:
 
 
 def validate_responses(responses: DataFrame) -> DataFrame:
-    """``(key, attempt, valid, error, summary, topics)`` per response row."""
-    v = validate_analysis(F.col("raw_text"))
-    err = F.coalesce(F.when(F.col("call_error").isNotNull(), F.col("call_error")), v["error"])
-    return responses.select("key", "attempt",
-                            (v["valid"] & F.col("call_error").isNull()).alias("valid"),
-                            F.when(~(v["valid"] & F.col("call_error").isNull()), err).alias("error"),
-                            v["summary"].alias("summary"), v["topics"].alias("topics"))
+    """``(key, attempt, valid, error, summary, topics)`` per response row.
+    Validation runs once per row in its own projection (Catalyst keeps an
+    expensive projection separate when its result is read several times)."""
+    v = responses.select("key", "attempt", "call_error", validate_analysis(F.col("raw_text")).alias("v"))
+    ok = F.col("v.valid") & F.col("call_error").isNull()
+    return v.select("key", "attempt", ok.alias("valid"),
+                    F.when(~ok, F.coalesce(F.col("call_error"), F.col("v.error"))).alias("error"),
+                    F.col("v.summary").alias("summary"), F.col("v.topics").alias("topics"))
 
 
 def first_valid_attempt(validated: DataFrame) -> DataFrame:
