@@ -554,3 +554,18 @@ SELECT url_key, 'ok', CAST(NULL AS VARCHAR), true, 'already_analyzed', CAST(NULL
 
 
 SQL["ingest_run"] = _ingest_sql()
+
+
+# ============================================================ sources, sinks, streaming
+
+SQL["jsonl_scan"] = SQL["scrape_run"]
+SQL["url_file_scan"] = f"WITH {cte_urls()} SELECT url FROM urls"
+SQL["vector_append"] = f"""SELECT 'vec-' || CAST(vec_id AS VARCHAR) AS id, 'label ' || CAST(label AS VARCHAR) AS text,
+  {sql_emb_sum('embedding')} AS emb_sum FROM embeddings"""
+SQL["stream_ingest"] = f"""SELECT url_key, min(page_id) AS page_id FROM (
+  SELECT {url_key('url')} AS url_key, page_id FROM pages) GROUP BY url_key"""
+SQL["stream_dedup"] = f"SELECT DISTINCT {url_key('url')} AS url_key FROM pages"
+SQL["stream_flow"] = f"""WITH {cte_snap()},
+todo AS (SELECT url AS url_key, page_id AS ord FROM snap),
+{cte_records('todo', 'rec', 500)}
+SELECT url, status, error, title, chars FROM rec"""

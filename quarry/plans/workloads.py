@@ -457,3 +457,80 @@ def ingest_run(spark, d):
     keys = _keyed(spark, d).groupBy("url_key").agg(F.min("ord").alias("ord"))
     return _ingest(keys, _snapshots(spark, d), D.raw_prior(spark, d), D.ingest_ai_prior(spark, d),
                    D.ingest_vector_prior(spark, d), min_chars=300, run_ts=RUN_TS)
+
+
+# ------------------------------------------------------------ sources, sinks, streaming
+
+from quarry.schemas import RAW as _RAW, VECTOR_ROW as _VROW  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
+from quarry.sources.jsonl import quarantined, read_jsonl, valid_rows, write_jsonl  # noqa: E402
+from quarry.sources.urls import read_url_lines  # noqa: E402
+from quarry.sources.vectors import append_vectors, read_vectors  # noqa: E402
+from quarry.streaming import ingest as _stream  # noqa: E402
+
+
+@register("jsonl_scan")
+def jsonl_scan(spark, d):
+    """Scrape records written as JSON Lines (with a blank and a malformed
+    line added) and read back with the RAW schema; the malformed line is
+    quarantined, valid records come back unchanged."""
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "jsonl")
+    write_jsonl(_scrape_run(spark, d).records, path)
+    spark.createDataFrame([("",), ('{"url": "broken', )], "value string").coalesce(1).write.mode("append").text(path)
+    schema = T.StructType([T.StructField("ord", T.LongType())] + list(_RAW.fields))
+    back = read_jsonl(spark, path, schema).cache()
+    assert quarantined(back).count() == 1
+    return valid_rows(back)
+
+
+@register("url_file_scan")
+def url_file_scan(spark, d):
+    """URL-list semantics on a real text file written from the derived lines."""
+    path = scratch_path(spark, "urls")
+    D.url_lines(spark, d).orderBy("ord").select(F.col("line").alias("value")).coalesce(1).write.text(path)
+    return url_list(read_url_lines(spark, path)).select("url")
+
+
+@register("vector_append")
+def vector_append(spark, d):
+    """Two runs appending the collection's vectors to a Parquet vector table
+    (the first run with even ids only); the second run adds only ids not
+    stored yet, so every id is stored once."""
+    emb = load(spark, d, "embeddings")
+    rows = emb.select(
+        F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("id"),
+        F.concat(F.lit("label "), F.col("label").cast("string")).alias("text"),
+        F.struct(F.concat(F.lit("vec-"), F.col("vec_id").cast("string")).alias("url"),
+                 F.lit("").alias("title"), F.lit("").alias("source"), F.lit("").alias("summary"),
+                 F.lit("").alias("topics"), F.lit(0).alias("topic_count")).cast(_VROW["metadata"].dataType).alias("metadata"),
+        "embedding", "vec_id")
+    path = scratch_path(spark, "vectors")
+    append_vectors(rows.where(F.col("vec_id") % 2 == 0), path)
+    append_vectors(rows, path)
+    return read_vectors(spark, path).select("id", "text", _emb_sum(F.col("embedding")).alias("emb_sum"))
+
+
+@register("stream_ingest")
+def stream_ingest(spark, d):
+    target, ckpt = scratch_path(spark, "t1"), scratch_path(spark, "t1ckpt")
+    _stream.ingest_pages(spark, d, "pages.parquet", target, ckpt)
+    # a second run from a fresh checkpoint replays every file: adds nothing
+    _stream.ingest_pages(spark, d, "pages.parquet", target, scratch_path(spark, "t1ckpt2"))
+    return spark.read.parquet(target).select("url_key", F.col("ord").alias("page_id"))
+
+
+@register("stream_dedup")
+def stream_dedup(spark, d):
+    target, ckpt = scratch_path(spark, "t2"), scratch_path(spark, "t2ckpt")
+    _stream.dedup_stream(spark, d, "pages.parquet", target, ckpt)
+    return spark.read.parquet(target).select("url_key")
+
+
+@register("stream_flow")
+def stream_flow(spark, d):
+    target, ckpt = scratch_path(spark, "t3"), scratch_path(spark, "t3ckpt")
+    _stream.scrape_stream(spark, d, "pages.parquet", target, ckpt,
+                          to_snapshot_rows=lambda b: b.selectExpr(*D.SNAPSHOT_EXPRS),
+                          min_chars=500, run_ts=RUN_TS)
+    return spark.read.parquet(target).select("url", "status", "error", "title", "chars")
