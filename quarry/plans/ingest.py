@@ -22,6 +22,7 @@ from quarry.operators.scrape import scrape_records
 from quarry.plans.analyze import annotate_records
 from quarry.plans.index import vector_documents
 from quarry.schemas import RAW_FIELDS
+from quarry.session import materialize
 from quarry.sources.pages import fetch
 
 # Offset that places this run's records after every earlier record.
@@ -53,7 +54,7 @@ def ingest(keys: DataFrame, snapshots: DataFrame, prior_raw: DataFrame, prior_ai
                                                    ("chars", "int"))])
     raw = latest_usable_raw(prior.unionByName(new_raw.select("ord", *RAW_FIELDS)))
     cand = raw.join(work.select("url_key"), "url_key", "left_semi")
-    ai = annotate_records(cand)
+    ai = materialize(annotate_records(cand))   # model output is computed once
     ai_ok = ai.where((F.col("status") == "ok") & not_blank(F.col("summary")))
     docs = vector_documents(ai_ok).withColumn("url_key", url_key(F.col("id")))
     docs = flag_existing(docs, stored_ids.select(url_key(F.col("url")).alias("url_key")), "url_key", "stored")

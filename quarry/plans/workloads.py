@@ -405,8 +405,13 @@ def query_guard(spark, d):
 
 
 def _search_run(spark, d):
-    vectors = _index_run(spark, d, prior=False).rows.where(F.col("status") == "ok")
-    return _search(vectors, _queries(spark, d), 5)
+    """Index the collection into a Parquet vector table (as E3 does), then
+    search it with every document title as a query."""
+    from quarry.session import scratch_path
+    from quarry.sources.vectors import append_vectors, read_vectors
+    path = scratch_path(spark, "index")
+    append_vectors(_index_run(spark, d, prior=False).rows.where(F.col("status") == "ok"), path)
+    return _search(read_vectors(spark, path), _queries(spark, d), 5)
 
 
 @register("search_run")

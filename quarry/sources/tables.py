@@ -8,8 +8,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    A Parquet file with a single row group is read by a single task; when a
+    scan yields fewer partitions than the session's parallelism it is
+    redistributed round-robin.  On a cluster, scans already have many more
+    splits than cores, so this adds nothing there."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def load(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Read ``{base_dir}/{name}.parquet``; the schema comes from the Parquet
     footer (no inference pass), and Catalyst prunes columns and pushes
-    filters into the scan."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    filters into the scan (through the round-robin spread as well)."""
+    return spread(spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet"))
