@@ -79,3 +79,31 @@ def until_successes(df: DataFrame, n: int | None, success: Column, ord_col: str
         return df
     cutoff = nth_smallest(df, ord_col, n, where=F.coalesce(success, F.lit(False)))
     return df if cutoff is None else df.where(F.col(ord_col) <= F.lit(cutoff))
+
+
+def process_until_successes(candidates: DataFrame, n: int, process, success: Column,
+                            ord_col: str = "ord", first_window: int | None = None):
+    """Run an expensive ``process`` (model call) over ``candidates`` in
+    ``ord`` order only as far as needed for ``n`` successes.
+
+    Candidates are taken in growing windows (2n, then doubling); every window
+    is processed once and materialised, and processing stops as soon as the
+    processed prefix holds ``n`` successes.  Returns ``(rows, cutoff)``: the
+    processed rows up to and including the ``n``-th success, and that
+    ordinal (None when there are fewer successes).  The result equals
+    processing everything and cutting at the ``n``-th success."""
+    from quarry.session import materialize
+    window = first_window or max(2 * n, 1)
+    done, lo = None, None
+    while True:
+        rest = candidates if lo is None else candidates.where(F.col(ord_col) > F.lit(lo))
+        hi = nth_smallest(rest, ord_col, window)
+        part = rest if hi is None else rest.where(F.col(ord_col) <= F.lit(hi))
+        out = materialize(process(part))
+        done = out if done is None else done.unionByName(out)
+        if hi is None or done.where(success).count() >= n:
+            break
+        lo, window = hi, window * 2
+    cutoff = nth_smallest(done, ord_col, n, where=F.coalesce(success, F.lit(False)))
+    rows = done if cutoff is None else done.where(F.col(ord_col) <= F.lit(cutoff))
+    return rows, cutoff

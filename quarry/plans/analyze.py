@@ -23,9 +23,8 @@ from quarry.operators.annotate import (DEFAULT_MODEL, Annotator, first_valid_att
                                        offline_annotator, validate_responses)
 from quarry.operators.dedup import first_wins, seen_keys
 from quarry.operators.incremental import only_new
-from quarry.operators.limits import nth_smallest
+from quarry.operators.limits import process_until_successes
 from quarry.schemas import ENRICHED_FIELDS, RAW_FIELDS
-from quarry.session import materialize
 
 
 @dataclass
@@ -73,14 +72,14 @@ def annotate_records(cands: DataFrame, annotator: Annotator | None = None,
 def analyze(raw: DataFrame, prior_enriched: DataFrame | None = None, *, limit: int | None = None,
             annotator: Annotator | None = None, model: str = DEFAULT_MODEL) -> AnalyzeResult:
     elig, firsts = candidates(raw, prior_enriched)
-    records = annotate_records(firsts, annotator, model)
-    if limit is not None:
-        # the cutoff and the output both read the model output: compute it once
-        records = materialize(records)
-        # rows until `limit` analyses succeeded (failures and skips do not count)
-        cutoff = nth_smallest(records, "ord", limit, where=F.col("status") == "ok")
+    if limit is None:
+        records = annotate_records(firsts, annotator, model)
+    else:
+        # annotate only as far as needed for `limit` successes (failures and
+        # skips do not count), each window once
+        records, cutoff = process_until_successes(
+            firsts, limit, lambda c: annotate_records(c, annotator, model), F.col("status") == "ok")
         if cutoff is not None:
-            records = records.where(F.col("ord") <= F.lit(cutoff))
             elig = elig.where(F.col("ord") <= F.lit(cutoff))
     outcome = elig.select("ord").join(records.select("ord", "status"), "ord", "left")
     summary = outcome.agg(F.count_if(F.col("status") == "ok").alias("processed"),
