@@ -17,6 +17,27 @@ from quarry.plans.scrape import keyed_urls, scrape, scrape_each
 from quarry.sources import derived as D
 from quarry.sources.pages import fetch, page_snapshots
 from quarry.sources.tables import load
+from quarry.functions.analysis import build_prompt as _build_prompt, strict_json
+from quarry.operators.annotate import (first_valid_attempt as _first_valid,
+                                       offline_annotator, validate_responses)
+from quarry.plans.analyze import analyze as _analyze, annotate_records, candidates
+from quarry.plans.analyze import eligible_for_analysis as _eligible
+from quarry.functions.text import is_blank as _is_blank
+from quarry.functions.vectors import (flatten_metadata,
+                                      preview, score_text, tokens, vector_ok)
+from quarry.operators.embed import EMPTY_TEXT
+from quarry.plans.index import eligible_for_index as _elig_index, index as _index
+from quarry.plans.index import vector_documents
+from quarry.plans.search import search as _search
+from quarry.operators.dedup import latest_matching
+from quarry.operators.incremental import append as _append
+from quarry.plans.ingest import ingest as _ingest
+from quarry.schemas import RAW as _RAW, VECTOR_ROW as _VROW
+from quarry.session import scratch_path
+from quarry.sources.jsonl import quarantined, read_jsonl, valid_rows, write_jsonl
+from quarry.sources.urls import read_url_lines
+from quarry.sources.vectors import append_vectors, read_vectors
+from quarry.streaming import ingest as _stream
 
 RUN_TS = D.RUN_TS
 W: dict = {}
@@ -168,12 +189,6 @@ def scrape_single(spark, d):
 
 # ------------------------------------------------------------ annotation
 
-from quarry.functions.analysis import build_prompt as _build_prompt, strict_json  # noqa: E402
-from quarry.operators.annotate import (first_valid_attempt as _first_valid,  # noqa: E402
-                                       offline_annotator, validate_responses)
-from quarry.plans.analyze import analyze as _analyze, annotate_records, candidates  # noqa: E402
-from quarry.plans.analyze import eligible_for_analysis as _eligible  # noqa: E402
-
 
 def _joined(col):
     return F.array_join(col, ", ")
@@ -290,14 +305,6 @@ def success_limit(spark, d):
 
 # ------------------------------------------------------------ vectors
 
-from quarry.functions.text import is_blank as _is_blank  # noqa: E402
-from quarry.functions.vectors import (bucket_counts, flatten_metadata, hashed_embedding,  # noqa: E402
-                                      preview, score_text, tokens, vector_ok)
-from quarry.operators.embed import EMPTY_TEXT  # noqa: E402
-from quarry.plans.index import eligible_for_index as _elig_index, index as _index  # noqa: E402
-from quarry.plans.index import vector_documents  # noqa: E402
-from quarry.plans.search import search as _search  # noqa: E402
-
 
 def _emb_sum(col):
     return F.aggregate(col, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double"))
@@ -423,10 +430,6 @@ def search_run(spark, d):
 
 # ------------------------------------------------------------ ingest, lookups, unions
 
-from quarry.operators.dedup import latest_matching  # noqa: E402
-from quarry.operators.incremental import append as _append  # noqa: E402
-from quarry.plans.ingest import ingest as _ingest  # noqa: E402
-
 
 @register("latest_ok")
 def latest_ok(spark, d):
@@ -466,13 +469,6 @@ def ingest_run(spark, d):
 
 # ------------------------------------------------------------ sources, sinks, streaming
 
-from quarry.schemas import RAW as _RAW, VECTOR_ROW as _VROW  # noqa: E402
-from quarry.session import scratch_path  # noqa: E402
-from quarry.sources.jsonl import quarantined, read_jsonl, valid_rows, write_jsonl  # noqa: E402
-from quarry.sources.urls import read_url_lines  # noqa: E402
-from quarry.sources.vectors import append_vectors, read_vectors  # noqa: E402
-from quarry.streaming import ingest as _stream  # noqa: E402
-
 
 @register("jsonl_scan")
 def jsonl_scan(spark, d):
