@@ -3,16 +3,13 @@ succeeded" (L2).
 
 Both reduce to one question: what is the ``n``-th smallest ordinal among
 some rows?  Every row at or before that ordinal is kept.  The answer is found
-without a global window (which would pull every row into one task):
-
-* small ``n``: a top-``n`` of the ordinal column alone (TakeOrderedAndProject
-  keeps ``n`` longs per partition);
-* large ``n``: distributed selection by histogram refinement; each round is
-  one aggregation returning at most ``BUCKETS`` counters to the driver and
-  narrows the value range ``BUCKETS``-fold, until the remaining candidates are
-  few enough for the top-``n`` path.
-
-The ordinal must be numeric for the large-``n`` path.
+without a global window or a global top-n (either would pull up to
+partitions x n values into one task): distributed selection by histogram
+refinement.  Each round is one aggregation returning at most ``BUCKETS``
+(count, min, max) triples to the driver and narrows the candidate range to
+the bucket holding the ``n``-th value; once that bucket holds at most
+``FETCH_LIMIT`` values they are fetched and the answer is picked exactly.
+The ordinal must be numeric.
 """
 
 from __future__ import annotations
@@ -20,13 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_N = 10_000
+FETCH_LIMIT = 10_000
 BUCKETS = 1024
-
-
-def _topn_max(ords: DataFrame, n: int):
-    row = ords.orderBy("o").limit(n).agg(F.max("o").alias("m"), F.count("*").alias("c")).first()
-    return row["m"], row["c"]
+SMALL_N = FETCH_LIMIT   # kept for callers that size windows by it
 
 
 def nth_smallest(df: DataFrame, ord_col: str, n: int, where: Column | None = None):
@@ -34,33 +27,31 @@ def nth_smallest(df: DataFrame, ord_col: str, n: int, where: Column | None = Non
     ``where`` (duplicates counted), or None when there are fewer rows."""
     if n <= 0:
         raise ValueError("n must be positive")
-    ords = df.select(F.col(ord_col).alias("o"), (where if where is not None else F.lit(True)).alias("w"))
-    ords = ords.where(F.col("w") & F.col("o").isNotNull()).select("o")
-    if n <= SMALL_N:
-        m, c = _topn_max(ords, n)
-        return m if c == n else None
-    cur = ords
+    keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    cur = (df.select(F.col(ord_col).alias("o"), keep.alias("_w"))
+             .where(F.col("_w") & F.col("o").isNotNull()).select("o"))
     stats = cur.agg(F.min("o").alias("lo"), F.max("o").alias("hi"), F.count("*").alias("c")).first()
     if stats["c"] < n:
         return None
-    lo, hi, need = stats["lo"], stats["hi"], n
-    while need > SMALL_N and lo != hi:
+    lo, hi, cnt, need = stats["lo"], stats["hi"], stats["c"], n
+    while cnt > FETCH_LIMIT and lo != hi:
         width = float(hi - lo) / BUCKETS
         b = F.least(F.floor((F.col("o") - F.lit(lo)) / F.lit(width)), F.lit(BUCKETS - 1)).cast("int")
-        counts = sorted((r["b"], r["c"]) for r in cur.groupBy(b.alias("b")).agg(F.count("*").alias("c")).collect())
+        hist = sorted((r["b"], r["c"], r["lo"], r["hi"]) for r in
+                      cur.groupBy(b.alias("b")).agg(F.count("*").alias("c"), F.min("o").alias("lo"),
+                                                    F.max("o").alias("hi")).collect())
         seen = 0
-        for bucket, cnt in counts:
-            if seen + cnt >= need:
+        for bucket, c, blo, bhi in hist:
+            if seen + c >= need:
                 need -= seen
                 cur = cur.where(b == F.lit(bucket))
+                lo, hi, cnt = blo, bhi, c
                 break
-            seen += cnt
-        stats = cur.agg(F.min("o").alias("lo"), F.max("o").alias("hi")).first()
-        lo, hi = stats["lo"], stats["hi"]
+            seen += c
     if lo == hi:
         return lo
-    m, _ = _topn_max(cur, need)
-    return m
+    values = sorted(r["o"] for r in cur.collect())   # at most FETCH_LIMIT values
+    return values[need - 1]
 
 
 def head_by_order(df: DataFrame, n: int | None, ord_col: str = "ord") -> DataFrame:
