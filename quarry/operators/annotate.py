@@ -44,18 +44,20 @@ def offline_annotator(df: DataFrame) -> DataFrame:
     """Extractive annotation: summary = first three sentences; topics = the
     five most frequent words of four or more letters (ties by word).
 
-    Plan: explode words -> partial/final count by (key, word) -> top 5 per
-    key with a WindowGroupLimit -> collect the five words in rank order ->
-    join with the summary by key.  Map-side combining bounds the shuffle by
-    the distinct words per document, never by document length."""
-    words = (df.select("key", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
-                                                               F.lit(TOPIC_TOKEN_RE), 0)).alias("w"))
-               .groupBy("key", "w").agg(F.count("*").alias("n")))
+    Plan: documents are hash-partitioned by key once; the word count by
+    (key, word), the top-5 WindowGroupLimit per key, the collect of the five
+    words and the join with the summary all keep that partitioning, so the
+    whole annotator is a single exchange.  A key is one document, so no
+    group exceeds one document's words."""
+    docs = df.select("key", "text").repartition("key")
+    words = (docs.select("key", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
+                                                                 F.lit(TOPIC_TOKEN_RE), 0)).alias("w"))
+                 .groupBy("key", "w").agg(F.count("*").alias("n")))
     w = Window.partitionBy("key").orderBy(F.col("n").desc(), F.col("w"))
     top = (words.withColumn("r", F.row_number().over(w)).where(F.col("r") <= TOPIC_COUNT)
                 .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "w"))).alias("tw"))
                 .select("key", F.transform("tw", lambda x: x["w"]).alias("topics")))
-    base = df.select("key", offline_summary(F.col("text")).alias("summary"))
+    base = docs.select("key", offline_summary(F.col("text")).alias("summary"))
     ann = base.join(top, "key", "left")
     raw = F.to_json(F.struct(F.col("summary"), F.coalesce(F.col("topics"), F.array().cast("array<string>")).alias("topics")))
     return ann.select("key", F.lit(1).alias("attempt"), raw.alias("raw_text"),

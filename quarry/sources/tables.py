@@ -15,10 +15,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan yields fewer partitions than the session's parallelism it is
     redistributed round-robin.  On a cluster, scans already have many more
     splits than cores, so this adds nothing there."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def load(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
