@@ -44,15 +44,17 @@ def ingest(keys: DataFrame, snapshots: DataFrame, prior_raw: DataFrame, prior_ai
     k = flag_existing(k, seen_keys(prior_raw), "url_key", "scraped")
     work = k.where(~F.col("analysed"))
     to_scrape = work.where(~F.col("scraped")).select("ord", "url_key")
-    new_raw = scrape_records(fetch(to_scrape, snapshots), min_chars, run_ts) \
-        .withColumn("ord", F.col("ord") + F.lit(RUN_ORD_OFFSET))
+    # this run's raw records are appended to the raw table once (here: the
+    # checkpoint), so page extraction never runs twice
+    new_raw = materialize(scrape_records(fetch(to_scrape, snapshots), min_chars, run_ts)
+                          .withColumn("ord", F.col("ord") + F.lit(RUN_ORD_OFFSET)))
     prior = prior_raw.select("ord", *[F.col(c) if c in prior_raw.columns else F.lit(None).cast(t).alias(c)
                                       for c, t in (("url", "string"), ("source", "string"), ("title", "string"),
                                                    ("text", "string"), ("fetched_at", "string"),
                                                    ("status", "string"), ("error", "string"),
                                                    ("http_status", "int"), ("content_type", "string"),
                                                    ("chars", "int"))])
-    raw = latest_usable_raw(prior.unionByName(new_raw.select("ord", *RAW_FIELDS)))
+    raw = materialize(latest_usable_raw(prior.unionByName(new_raw.select("ord", *RAW_FIELDS))))
     cand = raw.join(work.select("url_key"), "url_key", "left_semi")
     ai = materialize(annotate_records(cand))   # model output is computed once
     ai_ok = ai.where((F.col("status") == "ok") & not_blank(F.col("summary")))
