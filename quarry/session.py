@@ -34,6 +34,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -77,3 +78,20 @@ def materialize(df):
     executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quarry`` importable in every Python worker (what
+    ``--py-files`` does at submit time): zip the package once per
+    SparkContext and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="quarry-pkg-")
+    archive = shutil.make_archive(os.path.join(base, "quarry"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="quarry")
+    sc.addPyFile(archive)
+    sc._quarry_shipped = True
