@@ -123,9 +123,15 @@ snap AS (
       FROM snap_rows)) WHERE rn = 1)"""
 
 
+def seen_sql(table: str) -> str:
+    """Keys of stored URLs: each URL as stored and normalised."""
+    return (f"SELECT DISTINCT url_key FROM (SELECT url AS url_key FROM {table} WHERE url IS NOT NULL AND url <> '' "
+            f"UNION ALL SELECT {url_key('url')} FROM {table} WHERE url IS NOT NULL AND url <> '')")
+
+
 def cte_prior_keys() -> str:
     return f"""raw_prior AS ({D.sql_raw_prior()}),
-prior_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM raw_prior WHERE url IS NOT NULL AND url <> '')"""
+prior_keys AS ({seen_sql('raw_prior')})"""
 
 
 def cte_records(todo: str, name: str, min_chars: int, extra: str = "") -> str:
@@ -295,7 +301,7 @@ def cte_candidates(with_prior: bool) -> str:
     if with_prior:
         prior = f""",
 enriched_prior AS ({D.sql_enriched_prior()}),
-ai_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM enriched_prior WHERE url IS NOT NULL AND url <> ''),
+ai_keys AS ({seen_sql('enriched_prior')}),
 cands AS (SELECT * FROM firsts ANTI JOIN ai_keys USING (url_key))"""
         src = "cands"
     return f"""raw AS ({D.sql_raw_docs()}),
@@ -516,7 +522,7 @@ def _ingest_sql() -> str:
 keys AS (SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key),
 ai_prior AS ({D.sql_ingest_ai_prior()}),
 vprior AS ({D.sql_ingest_vector_prior()}),
-ai_keys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM ai_prior WHERE url IS NOT NULL AND url <> ''),
+ai_keys AS ({seen_sql('ai_prior')}),
 vkeys AS (SELECT DISTINCT {url_key('url')} AS url_key FROM vprior),
 kk AS (SELECT keys.url_key, keys.ord, a.url_key IS NOT NULL AS analysed, p.url_key IS NOT NULL AS scraped
        FROM keys LEFT JOIN ai_keys a ON a.url_key = keys.url_key LEFT JOIN prior_keys p ON p.url_key = keys.url_key),

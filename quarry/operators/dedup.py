@@ -45,12 +45,17 @@ def latest_matching(df: DataFrame, key: str, predicate: Column, ord_col: str = "
 
 def seen_keys(records: DataFrame, url_col: str = "url", key_col: str = "url_key") -> DataFrame:
     """Distinct URL keys of a record table; records without a URL are
-    ignored.  Only the URL column is read."""
+    ignored.  Only the URL column is read.
+
+    A stored URL counts both as it is and normalised: records written by
+    this engine store the key itself (D2), and normalisation is not
+    idempotent (``/a//`` -> ``/a/`` -> ``/a``), so re-normalising a stored
+    key would make a rerun add it again; URLs stored by other writers are
+    matched through their normalised form."""
     u = F.col(url_col)
-    return (records.select(u)
-                   .where(u.isNotNull() & (u != ""))
-                   .select(url_key(u).alias(key_col))
-                   .distinct())
+    urls = records.select(u.alias("u")).where(F.col("u").isNotNull() & (F.col("u") != ""))
+    both = F.array_distinct(F.array(F.col("u"), url_key(F.col("u"))))
+    return urls.select(F.explode(both).alias(key_col)).distinct()
 
 
 def url_list(lines: DataFrame, line_col: str = "line", ord_col: str = "ord") -> DataFrame:
