@@ -44,3 +44,21 @@ def test_knn_final_rank_is_a_group_limit(spark):
     p = plan(df)
     assert "WindowGroupLimit" in p or "Window" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """One key holds a third of the rows: first-wins must reduce it map-side
+    (partial aggregate below the exchange) and still pick the first row."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        (n - F.col("id")).alias("ord"), F.col("id").alias("v")).repartition(6)
+    out = first_wins(df, "k", "ord")
+    p = plan(out)
+    assert "CartesianProduct" not in p
+    phys = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in phys
+    assert phys.index("Exchange") < phys.rindex("Aggregate")   # an aggregate sits below the exchange
+    hot = out.where("k = 'hot'").first()
+    assert hot["ord"] == n - max(i for i in range(n) if i % 3 == 0)
+    assert out.count() == 1 + sum(1 for i in range(n) if i % 3)
