@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions.analysis import validate_analysis
 from quarry.functions.text import strip
 from quarry.schemas import RESPONSE
+from quarry.session import parallelism
 
 # Fixed values of the default offline annotator (our stand-in for a remote
 # model; it meets the output contract, not a model's quality).
@@ -49,7 +50,7 @@ def offline_annotator(df: DataFrame) -> DataFrame:
     words and the join with the summary all keep that partitioning, so the
     whole annotator is a single exchange.  A key is one document, so no
     group exceeds one document's words."""
-    docs = df.select("key", "text").repartition("key")
+    docs = df.select("key", "text").repartition(parallelism(df.sparkSession), "key")
     words = (docs.select("key", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
                                                                  F.lit(TOPIC_TOKEN_RE), 0)).alias("w"))
                  .groupBy("key", "w").agg(F.count("*").alias("n")))

@@ -21,6 +21,7 @@ from quarry.operators.dedup import seen_keys, url_list
 from quarry.operators.incremental import flag_existing
 from quarry.operators.limits import head_by_order
 from quarry.operators.scrape import scrape_records
+from quarry.session import parallelism
 from quarry.sources.pages import fetch
 
 
@@ -45,7 +46,11 @@ def scrape(lines: DataFrame, snapshots: DataFrame, prior_raw: DataFrame | None =
         first = flag_existing(first, seen_keys(prior_raw), "url_key", "in_prior")
     else:
         first = first.withColumn("in_prior", F.lit(False))
+    # the URLs to fetch are few narrow rows; spreading them with an explicit
+    # count (AQE keeps it) makes the page extraction after the fetch join use
+    # every core even when the set is small
     todo = first.where(~F.col("in_prior")).select("ord", "url_key")
+    todo = todo.repartition(parallelism(todo.sparkSession))
     records = scrape_records(fetch(todo, snapshots), min_chars, run_ts)
     summary = summarize_scrape(urls, records)
     return ScrapeResult(records, summary)

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # CPU-heavy per-row stages (HTML regex, model calls) follow shuffles;
+    # let AQE keep small partitions so they still use every core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -95,3 +98,11 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir="quarry")
     sc.addPyFile(archive)
     sc._quarry_shipped = True
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (falls back to the shuffle width)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
