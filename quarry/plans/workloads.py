@@ -487,9 +487,11 @@ def jsonl_scan(spark, d):
 
 @register("url_file_scan")
 def url_file_scan(spark, d):
-    """URL-list semantics on a real text file written from the derived lines."""
+    """URL-list semantics on real text files written from the derived lines
+    (a sorted write: part files follow the line order, and the reader orders
+    lines by file, split and position)."""
     path = scratch_path(spark, "urls")
-    D.url_lines(spark, d).orderBy("ord").select(F.col("line").alias("value")).coalesce(1).write.text(path)
+    D.url_lines(spark, d).orderBy("ord").select(F.col("line").alias("value")).write.text(path)
     return url_list(read_url_lines(spark, path)).select("url")
 
 
