@@ -24,6 +24,7 @@ from quarry.operators.annotate import (DEFAULT_MODEL, Annotator, first_valid_att
 from quarry.operators.dedup import first_wins, seen_keys
 from quarry.operators.incremental import only_new
 from quarry.operators.limits import process_until_successes
+from quarry.session import materialize
 from quarry.schemas import ENRICHED_FIELDS, RAW_FIELDS
 
 
@@ -72,6 +73,9 @@ def annotate_records(cands: DataFrame, annotator: Annotator | None = None,
 def analyze(raw: DataFrame, prior_enriched: DataFrame | None = None, *, limit: int | None = None,
             annotator: Annotator | None = None, model: str = DEFAULT_MODEL) -> AnalyzeResult:
     elig, firsts = candidates(raw, prior_enriched)
+    # the model stage's input feeds the model and the join back to the raw
+    # columns: checkpoint it once (also makes the model stage restartable)
+    firsts = materialize(firsts)
     if limit is None:
         records = annotate_records(firsts, annotator, model)
     else:

@@ -311,8 +311,11 @@ def _emb_sum(col):
 
 
 def _enriched_all(spark, d):
+    """The enriched table as the analyse step stores it (materialised once;
+    the index step reads it several times)."""
+    from quarry.session import materialize
     _, firsts = candidates(D.raw_docs(spark, d), None)
-    return annotate_records(firsts)
+    return materialize(annotate_records(firsts))
 
 
 def _meta_cols(m="metadata"):
