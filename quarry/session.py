@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every quarry job relies on.  AQE re-plans joins and coalesces
 # shuffle partitions at runtime; skew-join splitting handles hot keys.
@@ -53,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return existing.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -66,21 +68,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for APIs that need a plain path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path) if not path.startswith("/") else path
+def store(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back:
+    the lineage ends there, executors may be lost afterwards, and every later
+    reader prunes columns and filters in the scan."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint
-    folder, so expensive or non-deterministic stages run once and survive
-    executor loss."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame) -> DataFrame:
+    """Run an expensive or non-deterministic stage once (see ``store``)."""
+    return store(df, "stage")
 
 
 def ship_package(spark: SparkSession) -> None:
