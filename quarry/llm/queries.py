@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import quality_rules
+from quarry.llm import mixing, quality_rules
 from quarry.llm.sql import SQL  # noqa: F401
+from quarry.session import store
 
 W: dict = {}
 
@@ -23,3 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    narrow = store(mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"), "mix-sizes")
+    return mixing.mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
