@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import mixing, quality_rules
+from quarry.llm import bpe, mixing, quality_rules
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -30,3 +32,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     narrow = store(mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"), "mix-sizes")
     return mixing.mix(narrow).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2(bpe.decode(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
