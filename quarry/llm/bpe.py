@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 from quarry.functions.text import bind
 
 HOT_WORDS = 200_000
-CACHE_PIECES = 500_000
+CACHE_PIECES = 1_000_000
+SHORT, NO_RANK = 64, 1 << 60
 #: Pieces longer than this many characters are not kept.
 HOT_LENGTH = 64
 
@@ -176,12 +178,25 @@ def place(piece: Column) -> Column:
 
 def fold_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: merge the first pair of least rank until none is
-    left.  Neighbours are linked, pairs wait in a heap and are dropped when a
-    merge has changed them, so a piece of n bytes takes O(n log n)."""
-    whole = ranks.get(piece)
+    left.  Short pieces look at all pairs in each step.  In long ones
+    neighbours are linked and pairs wait in a heap, dropped when a merge has
+    changed them, so a piece of n bytes takes O(n log n)."""
+    rank, n = ranks.get, len(piece)
+    whole = rank(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
+    if n <= SHORT:
+        parts = [piece[i:i + 1] for i in range(n)]
+        found = [rank(piece[i:i + 2], NO_RANK) for i in range(n - 1)]
+        while found and (least := min(found)) < NO_RANK:
+            i = found.index(least)
+            parts[i] += parts.pop(i + 1)
+            found.pop(i)
+            if i < len(found):
+                found[i] = rank(parts[i] + parts[i + 1], NO_RANK)
+            if i:
+                found[i - 1] = rank(parts[i - 1] + parts[i], NO_RANK)
+        return [ranks[x] for x in parts]
     end = list(range(1, n + 1))  # end of the part that starts here
     before = list(range(-1, n - 1))
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i:i + 2])) is not None]
@@ -212,7 +227,8 @@ class PieceCache(dict):
         self.ranks, self.most = ranks, most
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(fold_bytes(piece.encode(), self.ranks), dtype="<i4").tobytes()
+        found = fold_bytes(piece.encode(), self.ranks)
+        ids = struct.pack(f"<{len(found)}i", *found)
         if len(self) >= self.most:
             self.clear()
         if len(piece) <= HOT_LENGTH:
@@ -220,6 +236,17 @@ class PieceCache(dict):
         return ids
 
 
+_CACHES: dict[tuple, PieceCache] = {}
+
+
+def worker_cache(key: tuple, ranks: dict[bytes, int], most: int) -> PieceCache:
+    """The cache of this Python worker; tasks that follow reuse it."""
+    if key not in _CACHES:
+        _CACHES.clear()
+        _CACHES[key] = PieceCache(ranks, most)
+    return _CACHES[key]
+
+
 def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", cache_pieces: int = CACHE_PIECES) -> DataFrame:
     """``df`` with ``ids`` (array<int>): the ids of the whole text."""
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path))
@@ -228,7 +255,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", cache
     def ids_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import regex
 
-        split, cache = regex.compile(pattern).findall, PieceCache(ranks.value, cache_pieces)
+        split, cache = regex.compile(pattern).findall, worker_cache((path, cache_pieces), ranks.value, cache_pieces)
         for batch in texts:
             rows = [b"".join(map(cache.__getitem__, split(t))) if t else b"" for t in map(pa.StringScalar.as_py, batch)]
             ends = np.cumsum([0] + [len(r) // 4 for r in rows], dtype=np.int64)
