@@ -1,0 +1,39 @@
+"""Groups of rows as a stream inside Arrow batches.
+
+Rows are dealt out by key, sorted within their partition, and handed to a
+Python function one group at a time: no Python call per group through Spark,
+and no more than one group in memory.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+
+def each_group(df: DataFrame, keys: list[str], schema: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``work(table)`` for the rows of each distinct ``keys`` (not null)."""
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_key = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_pylist() for k in keys]
+            start, rows = 0, list(zip(*columns))
+            for i in range(1, len(rows) + 1):
+                if i < len(rows) and rows[i] == rows[start]:
+                    continue
+                if held and rows[start] != held_key:
+                    yield from work(pa.Table.from_batches(held))
+                    held = []
+                held_key = rows[start]
+                held.append(batch.slice(start, i - start))
+                start = i
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, schema)

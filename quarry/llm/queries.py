@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, mixing, quality_rules
+from quarry.llm import bpe, minhash, mixing, quality_rules
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -45,3 +45,9 @@ def encoded_digests(docs: DataFrame) -> DataFrame:
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=3, percent=85).drop("set_key")

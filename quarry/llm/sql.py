@@ -43,4 +43,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b"""
 
 
-SQL = {"op1_quality_rules": quality()}
+def near_duplicates(shingle: int, percent: int, source: str = "documents") -> str:
+    """Exact similarity join on shared shingles, then reachability."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD}') AS ws FROM {source}),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < {shingle} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - {shingle - 2}), lambda i: array_to_string(ws[i:i + {shingle - 1}], ' '))) END AS ss
+  FROM w),
+x AS (SELECT doc_id, len(ss) AS n, unnest(ss) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p WHERE 100 * c >= {percent} * (na + nb - c)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM {source} UNION SELECT r.a, k.b FROM r JOIN both_ways k ON r.b = k.a)
+SELECT s.doc_id, len(ss)::BIGINT AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = s.doc_id"""
+
+
+SQL = {"op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
