@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, minhash, mixing, quality_rules
+from quarry.llm import bpe, minhash, mixing, quality_rules, secrets
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -51,3 +51,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=3, percent=85).drop("set_key")
+
+
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secrets.train(secrets.labelled_findings(spark))
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), forest)
+    return found.select("doc_id", "candidates", F.size("secrets").cast("long").alias("n_secrets"),
+                        F.transform("secrets", lambda s: s["value"]).alias("secrets"))
