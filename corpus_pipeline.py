@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import quality_rules
+from quarry.llm import minhash, mixing, quality_rules, queries, secrets
 from quarry.session import scratch_path
 
 
@@ -18,8 +18,34 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates (five-word
+    shingles, similarity 0.8 or more)."""
+    return minhash.drop_near_duplicates(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts by a mark; all documents stay."""
+    return secrets.redact(docs, secrets.train(secrets.labelled_findings(spark)))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture as documents: for each document and pass over its source
+    the words taken."""
+    return mixing.mixed_texts(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every mixed text."""
+    return queries.encoded_digests(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("mix_sources", mix_sources),
+    ("bpe", tokens),
 ]
 
 #: SQL cannot express the later stages; tests hold them against brute force.
