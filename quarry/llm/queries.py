@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, minhash, mixing, quality_rules, secrets
+from quarry.llm import bpe, minhash, mixing, quality_rules, secrets, vptree
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -59,3 +59,9 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), forest)
     return found.select("doc_id", "candidates", F.size("secrets").cast("long").alias("n_secrets"),
                         F.transform("secrets", lambda s: s["value"]).alias("secrets"))
+
+
+@query
+def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.search(vptree.build_index(rows), rows.filter("vec_id % 50 = 0"))

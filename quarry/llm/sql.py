@@ -64,4 +64,16 @@ SELECT s.doc_id, len(ss)::BIGINT AS n_shingles, m.component_id, s.doc_id = m.com
 FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON m.a = s.doc_id"""
 
 
-SQL = {"op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+r AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM r) WHERE rank <= 5"""
+
+
+SQL = {"op8_vptree": NEAREST, "op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
