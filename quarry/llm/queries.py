@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, minhash, mixing, quality_rules, secrets, vptree
+from quarry.llm import bpe, minhash, mixing, quality_rules, secrets, suffixes, vptree
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -65,3 +65,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vptree.search(vptree.build_index(rows), rows.filter("vec_id % 50 = 0"))
+
+
+@query
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

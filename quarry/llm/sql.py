@@ -76,4 +76,23 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM r) WHERE rank <= 5"""
 
 
-SQL = {"op8_vptree": NEAREST, "op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
+REPEATS = """
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT doc_id, n, i, md5(t[i:i + 399]) AS h FROM (SELECT doc_id, t, n, unnest(range(1, n - 398)) AS i FROM b)),
+d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY h) AS c FROM w) WHERE c > 1),
+g AS (SELECT doc_id, i, i > 400 + lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) AS fresh FROM d),
+k AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+r AS (SELECT doc_id, run, min(i) AS lo, max(i) + 400 AS hi FROM k GROUP BY ALL),
+edges AS (
+  SELECT doc_id, lo, hi FROM r UNION ALL SELECT doc_id, n + 1, n + 1 FROM b),
+gaps AS (SELECT doc_id, lo, lag(hi, 1, 1) OVER (PARTITION BY doc_id ORDER BY lo) AS since FROM edges),
+kept AS (
+  SELECT gaps.doc_id, string_agg(CASE WHEN lo > since THEN hex(t[since:lo - 1]) ELSE '' END, '' ORDER BY lo) AS x
+  FROM gaps JOIN b USING (doc_id) GROUP BY gaps.doc_id),
+s AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM r GROUP BY doc_id)
+SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(x)) AS kept_sha256
+FROM b JOIN kept USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+SQL = {"op7_suffixes": REPEATS, "op8_vptree": NEAREST, "op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
