@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, minhash, mixing, quality_rules, secrets, suffixes, vptree
+from quarry.llm import bpe, html_extract, minhash, mixing, quality_rules, secrets, suffixes, vptree
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -74,3 +74,9 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
