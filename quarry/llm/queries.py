@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, html_extract, minhash, mixing, quality_rules, secrets, suffixes, vptree
+from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, vptree
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import store
 
@@ -80,3 +80,14 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extract.extract(table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a row without an id cannot have a label; it counts as held out
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_classifier.fit(docs, labels.filter(~held_out), most_rows=quality_classifier.MOST_ROWS)
+    scored = quality_classifier.score(docs, model).withColumn("held_out", held_out)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
