@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, vptree
+from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree
 from quarry.llm.sql import SQL  # noqa: F401
-from quarry.session import store
+from quarry.session import scratch_path, store
 
 W: dict = {}
 
@@ -91,3 +91,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_classifier.fit(docs, labels.filter(~held_out), most_rows=quality_classifier.MOST_ROWS)
     scored = quality_classifier.score(docs, model).withColumn("held_out", held_out)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path,
+                      public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
