@@ -11,7 +11,7 @@ from quarry.functions.html import char_count, extract_text, extract_title
 from quarry.functions.urls import source_domain, url_is_valid, url_key
 from quarry.operators.dedup import first_wins, seen_keys, url_list
 from quarry.operators.incremental import flag_existing, only_new
-from quarry.operators.knn import knn
+from quarry.operators.knn import knn, knn_one
 from quarry.operators.scrape import scrape_records
 from quarry.plans.scrape import keyed_urls, scrape, scrape_each
 from quarry.sources import derived as D
@@ -23,7 +23,7 @@ from quarry.operators.annotate import (first_valid_attempt as _first_valid,
 from quarry.plans.analyze import analyze as _analyze, annotate_records, candidates
 from quarry.plans.analyze import eligible_for_analysis as _eligible
 from quarry.functions.text import is_blank as _is_blank
-from quarry.functions.vectors import (flatten_metadata,
+from quarry.functions.vectors import (EMBED_DIM, flatten_metadata,
                                       preview, score_text, tokens, vector_ok)
 from quarry.operators.embed import EMPTY_TEXT
 from quarry.plans.index import eligible_for_index as _elig_index, index as _index
@@ -56,7 +56,7 @@ def register(name):
 def knn_batch(spark: SparkSession, d: str) -> DataFrame:
     """Every vector of the collection as a query, top 5 by (score, id)."""
     emb = load(spark, d, "embeddings")
-    return knn(emb, emb, 5, id_col="vec_id", query_id_col="vec_id")
+    return knn(emb, emb, 5, dim=EMBED_DIM, id_col="vec_id", query_id_col="vec_id")
 
 
 @register("knn_single")
@@ -65,9 +65,8 @@ def knn_single(spark: SparkSession, d: str) -> DataFrame:
     exact aggregate), top 5."""
     emb = load(spark, d, "embeddings")
     per_dim = emb.select(F.posexplode("embedding").alias("pos", "x")).groupBy("pos").agg(F.max("x").alias("x"))
-    query = per_dim.agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("s")) \
-                   .select(F.lit("max_probe").alias("query_id"), F.transform("s", lambda e: e["x"]).alias("embedding"))
-    return knn(emb, query, 5, id_col="vec_id").select("rank", "score", F.col("id").alias("vec_id"))
+    query = [r["x"] for r in per_dim.orderBy("pos").collect()]   # one number per dimension
+    return knn_one(emb, query, 5, id_col="vec_id").select("rank", "score", F.col("id").alias("vec_id"))
 
 
 # ------------------------------------------------------------ URLs and lists
