@@ -10,11 +10,6 @@ from quarry.functions.text import bind, strip
 
 # The instruction texts sent with every article.  They must be
 # identical to the reference's for the same model behaviour.
-SYSTEM_PROMPT = """You are a precise information extraction system.
-You must return ONLY valid JSON.
-Do not include explanations, markdown, or extra text.
-"""
-
 PROMPT_HEAD = """Analyze the following news article and return a JSON object with this exact structure:
 
 {

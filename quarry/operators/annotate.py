@@ -4,7 +4,7 @@ An *annotator* turns ``(key, prompt, title, text)`` rows into response rows
 ``(key, attempt, raw_text, call_error)``.  Two kinds are supported:
 
 * a DataFrame -> DataFrame function (the default offline annotator below is
-  one: a word count and a per-document top-k, all Catalyst);
+  one: word counts inside each row);
 * a Python batch function ``list[str] -> list[str]`` (e.g. a remote model
   client) wrapped by :func:`batch_annotator`, which runs it in
   ``mapInPandas`` over Arrow batches with up to three attempts per row.
@@ -15,16 +15,18 @@ native :func:`quarry.functions.analysis.validate_analysis`.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.functions.analysis import validate_analysis
+from quarry.functions.analysis import MAX_TOPICS, MIN_TOPICS, validate_analysis
 from quarry.functions.text import strip
 from quarry.schemas import RESPONSE
-from quarry.session import parallelism
 
 # Fixed values of the default offline annotator (our stand-in for a remote
 # model; it meets the output contract, not a model's quality).
@@ -41,34 +43,33 @@ def offline_summary(text):
     return strip(F.regexp_extract(text, SUMMARY_RE, 0))
 
 
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _top_words(texts: pa.Array) -> pa.Array:
+    """The most frequent topic words of each lower-cased text, ties by word."""
+    import regex
+
+    find = regex.compile(TOPIC_TOKEN_RE).findall
+    out = []
+    for t in texts:
+        counts = Counter(find(t.as_py() or ""))
+        out.append(sorted(counts, key=lambda w: (-counts[w], w))[:TOPIC_COUNT])
+    return pa.array(out, pa.list_(pa.string()))
+
+
 def offline_annotator(df: DataFrame) -> DataFrame:
     """Extractive annotation: summary = first three sentences; topics = the
-    five most frequent words of four or more letters (ties by word).
-
-    Plan: documents are hash-partitioned by key once; the word count by
-    (key, word), the top-5 WindowGroupLimit per key, the collect of the five
-    words and the join with the summary all keep that partitioning, so the
-    whole annotator is a single exchange.  A key is one document, so no
-    group exceeds one document's words."""
-    docs = df.select("key", "text").repartition(parallelism(df.sparkSession), "key")
-    words = (docs.select("key", F.explode(F.regexp_extract_all(F.lower(F.col("text")),
-                                                                 F.lit(TOPIC_TOKEN_RE), 0)).alias("w"))
-                 .groupBy("key", "w").agg(F.count("*").alias("n")))
-    w = Window.partitionBy("key").orderBy(F.col("n").desc(), F.col("w"))
-    top = (words.withColumn("r", F.row_number().over(w)).where(F.col("r") <= TOPIC_COUNT)
-                .groupBy("key").agg(F.sort_array(F.collect_list(F.struct("r", "w"))).alias("tw"))
-                .select("key", F.transform("tw", lambda x: x["w"]).alias("topics")))
-    base = docs.select("key", offline_summary(F.col("text")).alias("summary"))
-    ann = base.join(top, "key", "left")
-    raw = F.to_json(F.struct(F.col("summary"), F.coalesce(F.col("topics"), F.array().cast("array<string>")).alias("topics")))
-    return ann.select("key", F.lit(1).alias("attempt"), raw.alias("raw_text"),
-                      F.lit(None).cast("string").alias("call_error"))
+    five most frequent words of four or more letters (ties by word).  A
+    document is one row, so its words are counted inside the row: no exchange
+    and no join, one Arrow stage."""
+    raw = F.to_json(F.struct(offline_summary(F.col("text")).alias("summary"), _top_words(F.lower(F.col("text"))).alias("topics")))
+    return df.select("key", F.lit(1).alias("attempt"), raw.alias("raw_text"), F.lit(None).cast("string").alias("call_error"))
 
 
 def batch_annotator(call: Callable[[list[str]], list[str]], attempts: int = MAX_ATTEMPTS) -> Annotator:
     """Wrap a batch model call.  Each Arrow batch of prompts is sent in one
-    call; rows whose answer fails validation or whose call raised are retried
-    up to ``attempts`` times; every attempt is kept as a response row."""
+    call; rows whose answer breaks the contract, or whose call raised or gave
+    another number of answers, are retried up to ``attempts`` times; every
+    attempt is kept as a response row."""
 
     def run(batches):
         for pdf in batches:
@@ -78,14 +79,15 @@ def batch_annotator(call: Callable[[list[str]], list[str]], attempts: int = MAX_
                 if not pending:
                     break
                 try:
-                    answers = call([prompts[i] for i in pending])
-                    errors = [None] * len(pending)
+                    answers = list(call([prompts[i] for i in pending]))
+                    error = None if len(answers) == len(pending) else f"RuntimeError: {len(answers)} answers for {len(pending)} prompts"
                 except Exception as exc:  # noqa: BLE001 - recorded as data
+                    error = f"{type(exc).__name__}: {exc}"
+                if error is not None:
                     answers = [None] * len(pending)
-                    errors = [f"{type(exc).__name__}: {exc}"] * len(pending)
                 yield pd.DataFrame({"key": [keys[i] for i in pending], "attempt": attempt,
-                                    "raw_text": answers, "call_error": errors})
-                pending = [i for i, a in zip(pending, answers) if not _quick_ok(a)]
+                                    "raw_text": pd.Series(answers, dtype=object), "call_error": [error] * len(pending)})
+                pending = [i for i, a in zip(pending, answers) if not meets_contract(a)]
 
     def annotate(df: DataFrame) -> DataFrame:
         return df.select("key", "prompt").mapInPandas(run, RESPONSE)
@@ -101,15 +103,21 @@ def replay_annotator(recorded: DataFrame) -> Annotator:
     return annotate
 
 
-def _quick_ok(answer) -> bool:
-    """Cheap retry test inside the Python worker; the authoritative check is
-    the native validation afterwards."""
+def meets_contract(answer) -> bool:
+    """The contract of ``validate_analysis`` for the worker's decision to try
+    again: a JSON object, a summary that is not blank, and 3 to 7 different
+    topics once stripped and lower-cased."""
     import json
     try:
-        v = json.loads(answer)
-    except Exception:  # noqa: BLE001
+        value = json.loads(answer)
+    except (TypeError, ValueError):
+        return False
+    if not isinstance(value, dict):
+        return False
+    summary, topics = value.get("summary"), value.get("topics")
+    if not (isinstance(summary, str) and summary.strip() and isinstance(topics, list) and all(isinstance(t, str) for t in topics)):
         return False
-    return isinstance(v, dict) and isinstance(v.get("summary"), str) and isinstance(v.get("topics"), list)
+    return MIN_TOPICS <= len({t.strip().lower() for t in topics} - {""}) <= MAX_TOPICS
 
 
 def validate_responses(responses: DataFrame) -> DataFrame:

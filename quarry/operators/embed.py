@@ -1,18 +1,19 @@
 """Embedding: text -> float vector.
 
 An *embedder* maps a DataFrame with a ``text`` column to the same rows plus
-an ``embedding`` column.  The default is the native hashed term-frequency
-embedder (Catalyst only).  :func:`batch_embedder` wraps a Python batch model
-call (``list[str] -> list[list[float]]``) as an Arrow pandas UDF.
+an ``embedding`` column.  The default is a hashed term-frequency embedder.
+:func:`batch_embedder` wraps a Python batch model call
+(``list[str] -> list[list[float]]``) as an iterator-of-batches Arrow UDF.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from quarry.functions.text import is_blank
@@ -77,25 +78,65 @@ def hashed_embedder(dim: int = EMBED_DIM) -> Embedder:
     return run
 
 
-def batch_embedder(call: Callable[[list[str]], list[list[float]]]) -> Embedder:
-    """Wrap a batch embedding call as an iterator-of-batches pandas UDF: one
-    call per Arrow batch, no per-row Python dispatch."""
-
-    @pandas_udf("array<float>")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(call(texts.tolist()))
+MAX_ATTEMPTS = 3
+VECTOR_OR_ERROR = "struct<embedding:array<float>,error:string>"
+
+
+def _answers(call: Callable[[list[str]], list], texts: list[str], attempts: int) -> list[tuple]:
+    """``(vector, error)`` per text.  A call that raises or answers with
+    another number of items is tried again; if it keeps failing, every text
+    is sent alone once, so one bad text does not fail its neighbours."""
+    def once(part):
+        try:
+            got = list(call(part))
+        except Exception as exc:  # noqa: BLE001 - recorded as data
+            return None, f"{type(exc).__name__}: {exc}"
+        return (got, None) if len(got) == len(part) else (None, f"RuntimeError: {len(got)} vectors for {len(part)} texts")
+
+    error = None
+    for _ in range(attempts):
+        got, error = once(texts)
+        if error is None:
+            return [(v, None) for v in got]
+    if len(texts) == 1:
+        return [(None, error)]
+    return [(got[0], None) if e is None else (None, e) for got, e in (once([t]) for t in texts)]
+
+
+def batch_embedder(call: Callable[[list[str]], list[list[float]]], attempts: int = MAX_ATTEMPTS) -> Embedder:
+    """Wrap a batch embedding call.  Only texts that are not null reach it
+    (``embed`` makes blank ones null); a failure is recorded in its row after
+    up to ``attempts`` tries and the job goes on."""
+
+    @pandas_udf(VECTOR_OR_ERROR)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            asked = [i for i, t in enumerate(texts) if t is not None]
+            out: list[tuple] = [(None, None)] * len(texts)
+            if asked:
+                for i, answer in zip(asked, _answers(call, [texts.iloc[i] for i in asked], attempts)):
+                    out[i] = answer
+            yield pd.DataFrame({"embedding": pd.Series([v for v, _ in out], dtype=object), "error": pd.Series([e for _, e in out], dtype=object)})
 
     return run
 
 
 def embed(df: DataFrame, text_col: str = "text", embedder: Embedder | None = None,
           dim: int = EMBED_DIM) -> DataFrame:
-    """Adds ``embedding`` and ``embed_error``.  Blank texts never reach the
-    embedder (guard first); a missing or wrongly sized vector is an error."""
+    """Adds ``embedding`` and ``embed_error``.  Blank texts are made null
+    before the embedder, which passes nulls on without a model call; a failed
+    call and a missing or wrongly sized vector are errors of their row.
+
+    The model runs in one projection; store the result before reading it more
+    than once (see ``session.materialize``)."""
     embedder = embedder or hashed_embedder(dim)
     text = F.col(text_col)
-    guarded = df.withColumn("_blank", is_blank(text))
-    out = guarded.withColumn("embedding", F.when(~F.col("_blank"), embedder(text)))
-    err = (F.when(F.col("_blank"), F.lit(EMPTY_TEXT))
-            .when(~vector_ok(F.col("embedding"), dim), F.lit("RuntimeError: Invalid embedding response")))
-    return out.withColumn("embed_error", err).drop("_blank")
+    guarded = df.withColumn("_text", F.when(~is_blank(text), text))
+    out = guarded.withColumn("_out", embedder(F.col("_text")))
+    if isinstance(out.schema["_out"].dataType, T.StructType):
+        vector, failed = F.col("_out.embedding"), F.col("_out.error")
+    else:
+        vector, failed = F.col("_out"), F.lit(None).cast("string")
+    err = (F.when(F.col("_text").isNull(), F.lit(EMPTY_TEXT)).when(failed.isNotNull(), failed)
+            .when(~vector_ok(vector, dim), F.lit("RuntimeError: Invalid embedding response")))
+    return out.withColumns({"embedding": F.when(F.col("_text").isNotNull(), vector), "embed_error": err}).drop("_text", "_out")
