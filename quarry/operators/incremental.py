@@ -16,11 +16,6 @@ def only_new(candidates: DataFrame, existing_keys: DataFrame, key: str) -> DataF
     return candidates.join(existing_keys.select(key), on=key, how="left_anti")
 
 
-def only_existing(candidates: DataFrame, existing_keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``candidates`` whose key is in ``existing_keys``."""
-    return candidates.join(existing_keys.select(key), on=key, how="left_semi")
-
-
 def flag_existing(candidates: DataFrame, existing_keys: DataFrame, key: str,
                   flag: str = "exists") -> DataFrame:
     """Adds a boolean column telling whether the key is already present."""

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 FETCH_LIMIT = 10_000
 BUCKETS = 1024
-SMALL_N = FETCH_LIMIT   # kept for callers that size windows by it
 
 
 def nth_smallest(df: DataFrame, ord_col: str, n: int, where: Column | None = None):

@@ -21,7 +21,7 @@ from quarry.functions.text import not_blank
 from quarry.functions.urls import url_key
 from quarry.operators.annotate import (DEFAULT_MODEL, Annotator, first_valid_attempt,
                                        offline_annotator, validate_responses)
-from quarry.operators.dedup import first_wins, seen_keys
+from quarry.operators.dedup import seen_keys
 from quarry.operators.incremental import only_new
 from quarry.operators.limits import process_until_successes
 from quarry.session import materialize
@@ -39,12 +39,15 @@ def eligible_for_analysis(raw: DataFrame) -> DataFrame:
 
 
 def candidates(raw: DataFrame, prior_enriched: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(eligible rows with key, first new occurrence per key)."""
+    """(eligible rows with key, first new occurrence per key).  First
+    occurrences and the anti join work on (key, ordinal); texts are read for
+    the rows that remain."""
     elig = eligible_for_analysis(raw).withColumn("url_key", url_key(F.col("url")))
-    firsts = first_wins(elig.select("url_key", "ord", *RAW_FIELDS), "url_key", "ord")
+    firsts = elig.groupBy("url_key").agg(F.min("ord").alias("ord"))
     if prior_enriched is not None:
         firsts = only_new(firsts, seen_keys(prior_enriched), "url_key")
-    return elig, firsts
+    wide = elig.select("url_key", "ord", *RAW_FIELDS).join(firsts, ["url_key", "ord"], "left_semi")
+    return elig, wide.dropDuplicates(["url_key", "ord"])
 
 
 def annotate_records(cands: DataFrame, annotator: Annotator | None = None,
@@ -77,7 +80,8 @@ def analyze(raw: DataFrame, prior_enriched: DataFrame | None = None, *, limit: i
     # columns: checkpoint it once (also makes the model stage restartable)
     firsts = materialize(firsts)
     if limit is None:
-        records = annotate_records(firsts, annotator, model)
+        # stored once: records and counters read it, the model must not run again
+        records = materialize(annotate_records(firsts, annotator, model))
     else:
         # annotate only as far as needed for `limit` successes (failures and
         # skips do not count), each window once

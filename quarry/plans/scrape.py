@@ -4,9 +4,10 @@ URL list -> strip/skip/first-wins -> URL key -> optional head limit ->
 first occurrence per key -> anti join with keys already scraped -> fetch
 (snapshot join) -> audit records -> summary counters.
 
-Shuffles: one aggregation for list de-duplication, one for the first
+Shuffles, all on narrow rows but the last: list de-duplication, the first
 occurrence per key, the anti join (broadcast when the earlier output's keys
-are small, sort-merge otherwise) and the snapshot join.
+are small, sort-merge otherwise), the winner of each key's snapshots, and the
+join that reads the pages of winners.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from quarry.operators.dedup import seen_keys, url_list
 from quarry.operators.incremental import flag_existing
 from quarry.operators.limits import head_by_order
 from quarry.operators.scrape import scrape_records
-from quarry.session import parallelism
 from quarry.sources.pages import fetch
 
 
@@ -46,11 +46,7 @@ def scrape(lines: DataFrame, snapshots: DataFrame, prior_raw: DataFrame | None =
         first = flag_existing(first, seen_keys(prior_raw), "url_key", "in_prior")
     else:
         first = first.withColumn("in_prior", F.lit(False))
-    # the URLs to fetch are few narrow rows; spreading them with an explicit
-    # count (AQE keeps it) makes the page extraction after the fetch join use
-    # every core even when the set is small
     todo = first.where(~F.col("in_prior")).select("ord", "url_key")
-    todo = todo.repartition(parallelism(todo.sparkSession))
     records = scrape_records(fetch(todo, snapshots), min_chars, run_ts)
     summary = summarize_scrape(urls, records)
     return ScrapeResult(records, summary)
@@ -79,12 +75,14 @@ def scrape_each(urls: DataFrame, snapshots: DataFrame, prior_raw: DataFrame | No
         keyed = flag_existing(keyed, seen_keys(prior_raw), "url_key", "in_prior")
     else:
         keyed = keyed.withColumn("in_prior", F.lit(False))
-    fetched = fetch(keyed, snapshots)
-    rec = scrape_records(fetched, min_chars, run_ts, keep=("ord", "in_prior"))
-    return rec.select(
-        "ord", "url", F.lit(1).alias("total"),
+    # a URL that is listed many times is fetched and extracted once
+    once = fetch(keyed.select("url_key", "in_prior").distinct(), snapshots)
+    rec = scrape_records(once, min_chars, run_ts, keep=("in_prior",))
+    result = rec.select(
+        F.col("url").alias("url_key"), "url", F.lit(1).alias("total"),
         F.when(~F.col("in_prior") & (F.col("status") == "ok"), 1).otherwise(0).alias("ok"),
         F.when(~F.col("in_prior") & (F.col("status") != "ok"), 1).otherwise(0).alias("failed"),
         F.when(F.col("in_prior"), 1).otherwise(0).alias("skipped_existing"),
         F.when(~F.col("in_prior"), F.col("status")).alias("status"),
     )
+    return keyed.select("ord", "url_key").join(result, "url_key").select("ord", *[c for c in result.columns if c != "url_key"])

@@ -98,11 +98,3 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir="quarry")
     sc.addPyFile(archive)
     sc._quarry_shipped = True
-
-
-def parallelism(spark: SparkSession) -> int:
-    """Cores available to the session (falls back to the shuffle width)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -21,11 +21,16 @@ def page_snapshots(rows: DataFrame, url_col: str = "page_url", ord_col: str = "p
     return first_wins(keyed, "url", ord_col)
 
 
-def fetch(todo: DataFrame, snapshots: DataFrame, key_col: str = "url_key") -> DataFrame:
-    """Attach the snapshot of every URL to fetch; URLs without a snapshot keep
-    null snapshot columns and ``snap_found = false``.  Written as a right
-    outer join so that AQE may broadcast the (usually small) set of URLs to
-    fetch and stream the large snapshot table past it."""
-    snap = snapshots.select(F.col("url").alias("_snap_url"), *SNAPSHOT_COLS,
-                            F.lit(True).alias("snap_found"))
-    return snap.join(todo, snap["_snap_url"] == todo[key_col], "right").drop("_snap_url")
+def fetch(todo: DataFrame, rows: DataFrame, key_col: str = "url_key", url_col: str = "page_url",
+          ord_col: str = "page_id") -> DataFrame:
+    """Attach the snapshot of every URL to fetch; URLs without one keep null
+    snapshot columns and ``snap_found = false``.
+
+    ``rows`` are the snapshot rows as they come.  The winner of each key is
+    found on (key, ordinal) alone, and only for keys to fetch; pages
+    themselves are read for the winners only, so no other HTML is moved."""
+    keyed = rows.select(url_key(F.col(url_col)).alias(key_col), F.col(ord_col).alias("_ord"), *SNAPSHOT_COLS)
+    winners = (keyed.select(key_col, "_ord").join(todo.select(key_col), key_col, "left_semi")
+               .groupBy(key_col).agg(F.min("_ord").alias("_ord")))
+    pages = keyed.join(winners, [key_col, "_ord"]).dropDuplicates([key_col, "_ord"]).drop("_ord")
+    return todo.join(pages.withColumn("snap_found", F.lit(True)), key_col, "left")

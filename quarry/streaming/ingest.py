@@ -18,7 +18,10 @@ from pyspark.sql import types as T
 from quarry.functions.urls import url_key
 from quarry.operators.dedup import first_wins
 from quarry.operators.incremental import only_new
-from quarry.sources.vectors import _exists
+from quarry.sources.vectors import exists
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 PAGES = T.StructType([
     T.StructField("page_id", T.LongType()),
@@ -36,7 +39,7 @@ def page_stream(spark: SparkSession, source_dir: str, glob: str = "*.parquet",
 
 
 def _target_keys(spark: SparkSession, target: str, key: str) -> DataFrame | None:
-    return spark.read.parquet(target).select(key) if _exists(spark, target) else None
+    return spark.read.parquet(target).select(key) if exists(spark, target) else None
 
 
 def keyed_append_batch(target: str, key: str, prepare: Callable[[DataFrame], DataFrame],
@@ -70,9 +73,11 @@ def ingest_pages(spark: SparkSession, source_dir: str, glob: str, target: str, c
 
 
 def dedup_stream(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str) -> None:
-    """T2: streaming de-duplication by URL key with state in the checkpoint
-    (unbounded, like a seen-set; use dropDuplicatesWithinWatermark when a
-    horizon is acceptable)."""
+    """T2: streaming de-duplication by URL key.  The keys seen are state that
+    grows for ever, so it is kept in RocksDB on the executors' disks (and in
+    the checkpoint), not in their memory; use dropDuplicatesWithinWatermark
+    when a horizon is acceptable."""
+    spark.conf.set(STATE_STORE, ROCKSDB)
     s = page_stream(spark, source_dir, glob).select(url_key(F.col("url")).alias("url_key"), "page_id")
     q = (s.dropDuplicates(["url_key"]).writeStream.format("parquet")
          .option("path", target).option("checkpointLocation", checkpoint)
@@ -85,13 +90,36 @@ def scrape_stream(spark: SparkSession, source_dir: str, glob: str, target: str,
     """T3: each micro-batch of fetched pages becomes scrape records, appended
     to the raw table unless the URL key is already there."""
     from quarry.operators.scrape import scrape_records
-    from quarry.sources.pages import fetch, page_snapshots
+    from quarry.sources.pages import fetch
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        snaps = page_snapshots(to_snapshot_rows(batch))
-        todo = snaps.select(F.col("url").alias("url_key"), F.col("page_id").alias("ord"))
-        if _exists(spark, target):
+        rows = to_snapshot_rows(batch)
+        todo = rows.groupBy(url_key(F.col("page_url")).alias("url_key")).agg(F.min("page_id").alias("ord"))
+        if exists(spark, target):
             todo = only_new(todo, spark.read.parquet(target).select(F.col("url").alias("url_key")), "url_key")
-        scrape_records(fetch(todo, snaps), min_chars, run_ts).write.mode("append").parquet(target)
+        scrape_records(fetch(todo, rows), min_chars, run_ts).write.mode("append").parquet(target)
 
     run_available(page_stream(spark, source_dir, glob), run, checkpoint)
+
+
+def ingest_stream(spark: SparkSession, source_dir: str, glob: str, base: str, checkpoint: str, *,
+                  to_snapshot_rows: Callable[[DataFrame], DataFrame], min_chars: int, run_ts: str,
+                  files_per_trigger: int | None = None, **models) -> None:
+    """T3 in full: each micro-batch of fetched pages is scraped, analysed and
+    indexed into the tables under ``base``.  A replayed batch adds nothing,
+    and a key whose last stage is missing is taken up again when it comes."""
+    from quarry.plans.ingest import ingest_into
+    from quarry.session import materialize
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        rows = materialize(to_snapshot_rows(batch))
+        keys = rows.groupBy(url_key(F.col("page_url")).alias("url_key")).agg(F.min("page_id").alias("ord"))
+        ingest_into(batch.sparkSession, keys, rows, base, min_chars=min_chars, run_ts=run_ts, **models)
+
+    run_available(page_stream(spark, source_dir, glob, files_per_trigger=files_per_trigger), run, checkpoint)
+
+
+def compact(spark: SparkSession, path: str, target: str, files: int) -> None:
+    """Rewrite a table of many small files as ``files`` files at ``target``
+    (a new folder; the caller swaps the tables when no run is writing)."""
+    spark.read.parquet(path).coalesce(files).write.parquet(target)

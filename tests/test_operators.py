@@ -7,7 +7,7 @@ from quarry.functions.vectors import embedding_text, preview
 from quarry.operators.dedup import first_wins, latest_matching, url_list
 from quarry.operators.embed import _hashed_vectors, embed, native_hashed_embedder
 from quarry.operators.knn import knn
-from quarry.operators.limits import SMALL_N, nth_smallest, until_successes
+from quarry.operators.limits import FETCH_LIMIT, nth_smallest, until_successes
 
 
 def test_url_list_first_wins_and_skips(spark):
@@ -41,8 +41,8 @@ def test_success_limit_matches_loop(spark):
 
 
 def test_nth_smallest_large_n_path(spark):
-    n = SMALL_N + 1234
-    vals = np.random.default_rng(3).integers(0, 10**9, size=3 * SMALL_N)
+    n = FETCH_LIMIT + 1234
+    vals = np.random.default_rng(3).integers(0, 10**9, size=3 * FETCH_LIMIT)
     df = spark.createDataFrame([(int(v),) for v in vals], "o long")
     assert nth_smallest(df, "o", n) == int(np.sort(vals)[n - 1])
     assert nth_smallest(df, "o", 10**6) is None
