@@ -55,9 +55,17 @@ def url_valid(x: str) -> str:
 
 
 def decode_entities(x: str) -> str:
-    for ent, ch in H.ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
-    return x
+    names = "MAP {" + ", ".join(f"'{k}': chr({n})" for k, n in H.NAMED.items()) + "}"
+    def char(n):
+        return f"CASE WHEN {n} = 0 OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr({n}::INT) END"
+    dec = char("try_cast(regexp_extract(p, '^#0*([0-9]{1,7});', 1) AS BIGINT)")
+    hexa = char("try_cast('0x' || regexp_extract(p, '^#[xX]0*([0-9a-fA-F]{1,6});', 1) AS BIGINT)")
+    rest = "substr(p, instr(p, ';') + 1)"
+    name = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]{1,30});', 1)"
+    piece = (f"CASE WHEN i = 1 THEN p WHEN regexp_matches(p, '^#0*[0-9]{{1,7}};') THEN {dec} || {rest} "
+             f"WHEN regexp_matches(p, '^#[xX]0*[0-9a-fA-F]{{1,6}};') THEN {hexa} || {rest} "
+             f"WHEN {names}[{name}] IS NOT NULL THEN {names}[{name}] || {rest} ELSE '&' || p END")
+    return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '')"
 
 
 def extract_text(html: str) -> str:
@@ -80,7 +88,7 @@ def _inline(x: str) -> str:
 
 
 def extract_title(html: str) -> str:
-    og = _inline(f"regexp_extract({html}, {q(H.OG_TITLE_RE)}, 1)")
+    og = "coalesce(" + ", ".join(_inline(f"regexp_extract({html}, {q(r)}, 1)") for r in H.OG_TITLE_RES) + ")"
     ti = _inline(f"regexp_extract({html}, {q(H.TITLE_RE)}, 1)")
     h1 = _inline(f"regexp_extract({html}, {q(H.H1_RE)}, 1)")
     return f"coalesce({og}, {ti}, {h1})"

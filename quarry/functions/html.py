@@ -1,7 +1,8 @@
 """Native HTML extraction: title and main text.
 
-The extraction is a fixed chain of linear-time regular expressions, so it runs
-as Catalyst expressions (no Python worker, no DOM).  Steps for the main text:
+The extraction is a fixed chain of regular expressions, so it runs as Catalyst
+expressions (no Python worker, no DOM).  Time is linear in well-formed pages; a
+page with many unclosed boilerplate tags is searched again for each of them.  Steps for the main text:
 
 1. drop comments;
 2. drop boilerplate blocks (script, style, nav, header, footer, aside, form,
@@ -11,7 +12,7 @@ as Catalyst expressions (no Python worker, no DOM).  Steps for the main text:
 4. line breaks and block-level tags become newlines;
 5. remaining tags are removed;
 6. blank space around newlines is squeezed to one newline;
-7. character entities are decoded (``&amp;`` last);
+7. character references are decoded (named, decimal and hexadecimal);
 8. the result is stripped; empty becomes null.
 
 The same pattern strings are valid in Java regex and RE2, so the SQL oracle
@@ -21,6 +22,8 @@ of a regex extractor (the first closing tag ends the block).
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,29 +44,46 @@ BLOCK_RE = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
 TAG_RE = r"<[^>]*>"
 NEWLINE_SQUEEZE_RE = r"[ \t\r]*\n[ \t\r\n]*"
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-OG_TITLE_RE = r"""(?is)<meta\b[^>]*property=["']og:title["'][^>]*content=["']([^"']*)["']"""
-H1_RE = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
-ENTITIES = [
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+OG_TITLE_RES = [  # content after and before the property, in double and in single quotes
+    r"""(?is)<meta\b[^<>]*?\bproperty\s*=\s*["']og:title["'][^<>]*?\bcontent\s*=\s*"([^"]*)["]""",
+    r"""(?is)<meta\b[^<>]*?\bproperty\s*=\s*["']og:title["'][^<>]*?\bcontent\s*=\s*'([^']*)'""",
+    r"""(?is)<meta\b[^<>]*?\bcontent\s*=\s*"([^"]*)"[^<>]*?\bproperty\s*=\s*["']og:title["']""",
+    r"""(?is)<meta\b[^<>]*?\bcontent\s*=\s*'([^']*)'[^<>]*?\bproperty\s*=\s*["']og:title["']""",
 ]
+H1_RE = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
+# Named character references of HTML 4 (the standard library's table) and the
+# apostrophe; numeric references follow from their number.
+NAMED = {**name2codepoint, "apos": 39}
+DECIMAL_RE, HEX_RE, NAME_RE = r"^#0*([0-9]{1,7});", r"^#[xX]0*([0-9a-fA-F]{1,6});", r"^([A-Za-z][A-Za-z0-9]{1,30});"
+REPLACEMENT = 0xFFFD
 
 
 def container_re(tag: str) -> str:
     return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
 
 
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for numbers that are none."""
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    number = F.when(bad, F.lit(REPLACEMENT)).otherwise(code)
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+
+
 def decode_entities(col: Column) -> Column:
-    for ent, ch in ENTITIES:
-        col = F.replace(col, F.lit(ent), F.lit(ch))
-    return col
+    """Character references decoded once, from left to right; an ampersand
+    that starts none stays."""
+    def piece(x: Column) -> Column:
+        after = F.call_function("substr", x, F.call_function("instr", x, F.lit(";")) + 1)
+        decimal, hexa, name = (F.regexp_extract(x, r, 1) for r in (DECIMAL_RE, HEX_RE, NAME_RE))
+        table = F.create_map(*[F.lit(v) for k, n in NAMED.items() for v in (k, chr(n))])
+        return (F.when(decimal != "", F.concat(_character(decimal.cast("long")), after))
+                 .when(hexa != "", F.concat(_character(F.conv(hexa, 16, 10).cast("long")), after))
+                 .when((name != "") & F.element_at(table, name).isNotNull(), F.concat(F.element_at(table, name), after))
+                 .otherwise(F.concat(F.lit("&"), x)))
+
+    def decoded(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(piece(x))), "")
+    return F.when(col.contains("&"), bind(F.split(col, "&"), decoded)).otherwise(col)
 
 
 def _nonempty(col: Column) -> Column:
@@ -100,7 +120,7 @@ def _clean_inline(col: Column) -> Column:
 
 def extract_title(html: Column) -> Column:
     """Metadata title (og:title), else ``<title>``, else the first ``<h1>``."""
-    og = _clean_inline(F.regexp_extract(html, OG_TITLE_RE, 1))
+    og = F.coalesce(*[_clean_inline(F.regexp_extract(html, r, 1)) for r in OG_TITLE_RES])
     title = _clean_inline(F.regexp_extract(html, TITLE_RE, 1))
     h1 = _clean_inline(F.regexp_extract(html, H1_RE, 1))
     return F.coalesce(og, title, h1)

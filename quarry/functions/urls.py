@@ -20,7 +20,9 @@ FRAGMENT_RE = r"(?s)#.*$"
 EMPTY_QUERY_RE = r"^([^?]*)\?$"
 PATH_RE = r"^(?:[a-z][a-z0-9+.\-]*:)?(?://[^/?]*)?([^?]*)"
 AUTHORITY_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
-VALID_URL_RE = r"^https?://[^/?#]+"
+# scheme, user info, host (name, IPv4 or bracketed IPv6), port up to 65535
+VALID_URL_RE = (r"^(?i:https?)://(?:[^/?#@\s]*@)?(?:\[[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*\]|[^\s/?#@:\[\]<>\\^|%\"`{}]+)"
+                r"(?::0*(?:[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5])?)?(?:[/?#]|$)")
 MAX_URL_LENGTH = 2083
 
 
