@@ -574,6 +574,9 @@ SQL["ingest_run"] = _ingest_sql()
 
 SQL["jsonl_scan"] = SQL["scrape_run"]
 SQL["url_file_scan"] = f"WITH {cte_urls()} SELECT url FROM urls"
+_FILE_LINES = f"lines AS (SELECT row_number() OVER (ORDER BY ord) - 1 AS ord, line FROM ({D.sql_url_lines()}))"
+SQL["url_file_limit"] = (f"WITH {cte_urls().replace(f'lines AS ({D.sql_url_lines()})', _FILE_LINES)} "
+                         "SELECT ord, url, url_key FROM keyed ORDER BY ord LIMIT 100")
 SQL["vector_append"] = f"""SELECT 'vec-' || CAST(vec_id AS VARCHAR) AS id, 'label ' || CAST(label AS VARCHAR) AS text,
   {sql_emb_sum('embedding')} AS emb_sum FROM embeddings"""
 SQL["stream_ingest"] = f"""SELECT url_key, min(page_id) AS page_id FROM (

@@ -495,6 +495,14 @@ def url_file_scan(spark, d):
     return url_list(read_url_lines(spark, path)).select("url")
 
 
+@register("url_file_limit")
+def url_file_limit(spark, d):
+    """The first 100 URLs of several text files, in file order."""
+    path = scratch_path(spark, "urls")
+    D.url_lines(spark, d).repartitionByRange(5, "ord").sortWithinPartitions("ord").select(F.col("line").alias("value")).write.text(path)
+    return keyed_urls(read_url_lines(spark, path), 100).select("ord", "url", "url_key")
+
+
 @register("vector_append")
 def vector_append(spark, d):
     """Two runs appending the collection's vectors to a Parquet vector table

@@ -34,3 +34,48 @@ def test_batch_embedder_and_guard(spark):
     assert out[1]["embedding"] == [5.0] * 4 and out[1]["embed_error"] is None
     assert out[2]["embedding"] is None and out[2]["embed_error"].startswith("ValueError")
     assert out[3]["embedding"] == [10.0] * 4
+
+
+def test_blank_after_valid_is_tried_again_and_short_answers_are_errors(spark):
+    state = {"calls": 0}
+
+    def model(prompts):
+        state["calls"] += 1
+        if state["calls"] == 1:
+            return ['{"summary": "  ", "topics": ["a", "b", "c"]}' for _ in prompts]
+        if state["calls"] == 2:
+            return []
+        return ['{"summary": "ok", "topics": ["a", "b", "c"]}' for _ in prompts]
+
+    calls = spark.createDataFrame([("k1", "p")], "key string, prompt string").coalesce(1)
+    responses = batch_annotator(model)(calls).collect()
+    assert [(r["attempt"], r["call_error"]) for r in responses] == [
+        (1, None), (2, "RuntimeError: 0 answers for 1 prompts"), (3, None)]
+
+
+def test_embedder_sees_no_blanks_and_failures_are_rows(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def strict(texts):
+        with open(log, "a") as f:
+            f.write(f"{len(texts)}\n")
+        if any(not (t or "").strip() for t in texts):
+            raise ValueError("blank")
+        if "poison" in texts:
+            raise RuntimeError("no vector")
+        return [[1.0, 2.0] for _ in texts]
+
+    rows = [(1, "good"), (2, "  "), (3, None), (4, "poison"), (5, "fine")]
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    out = {r["id"]: r for r in embed(df, "text", batch_embedder(strict), dim=2).collect()}
+    assert {i: r["embed_error"] for i, r in out.items()} == {
+        1: None, 2: "ValueError: Cannot embed empty text", 3: "ValueError: Cannot embed empty text", 4: "RuntimeError: no vector", 5: None}
+    assert out[1]["embedding"] == [1.0, 2.0] and out[4]["embedding"] is None
+    # three tries of the whole batch, then each of its three texts alone
+    assert open(log).read().split() == ["3", "3", "3", "1", "1", "1"]
+
+
+def test_wrong_size_is_an_error(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, text string")
+    out = embed(df, "text", batch_embedder(lambda t: [[1.0] * 3 for _ in t]), dim=2).first()
+    assert out["embed_error"] == "RuntimeError: Invalid embedding response"

@@ -42,10 +42,30 @@ def test_knn_final_rank_is_a_group_limit(spark):
     df = E.queries()["knn_batch"](spark, SF_SMALL)
     df.collect()
     p = plan(df)
-    assert "WindowGroupLimit" in p or "Window" in p
+    assert "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_pages_are_read_for_winners_only(spark):
+    """No HTML below the choice of each key's snapshot."""
+    from quarry.sources.pages import fetch
+    rows = load(spark, SF_SMALL, "pages").selectExpr("page_id", "url AS page_url", "url AS final_url", "200 AS http_status",
+                                                     "'text/html' AS content_type", "html", "CAST(NULL AS string) AS fetch_error")
+    todo = rows.select(url_key(F.col("page_url")).alias("url_key"), F.lit(1).alias("ord")).distinct()
+    out = fetch(todo, rows)
+    scans = [x for x in plan(out).split("\n") if "ReadSchema" in x]
+    assert sum("html" in x.split("ReadSchema")[1] for x in scans) == 1 and len(scans) >= 3
+    assert out.where("snap_found").count() == todo.count()
+
+
+def test_one_model_node_in_search_and_index(spark):
+    from quarry.plans.index import _embed_rows
+    from quarry.operators.embed import batch_embedder
+    docs = spark.createDataFrame([("a", "text", 1)], "id string, text string, ord long")
+    p = plan(_embed_rows(docs, batch_embedder(lambda t: [[1.0] * 64 for _ in t])))
+    assert p.count("ArrowEvalPython") == 1
+
+
 def test_hot_key_is_combined_before_the_shuffle(spark):
     """One key holds a third of the rows: first-wins must reduce it map-side
     (partial aggregate below the exchange) and still pick the first row."""
