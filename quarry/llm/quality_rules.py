@@ -17,7 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.textstats import share, with_stats
+from quarry.functions.text import bind
+from quarry.llm.textstats import STAT_COLUMNS, share, stats
 
 
 class Rule(NamedTuple):
@@ -46,12 +47,13 @@ RULES = (
 )
 
 
-def base_failed(min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> Column:
-    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+def base_failed(s: Column, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> Column:
+    return (s["n_words"] < min_words) | (100 * s["n_repeat_words"] > max_repeat_percent * s["n_words"])
 
 
-def broken(rule: Rule) -> Column:
-    value = F.col(rule.part).cast("double") if rule.whole is None else share(F.col(rule.part), F.col(rule.whole))
+def broken(rule: Rule, s: Column) -> Column:
+    """True if the rule does not hold for the statistics ``s`` (struct)."""
+    value = s[rule.part].cast("double") if rule.whole is None else share(s[rule.part], s[rule.whole])
     out = F.lit(False)
     if rule.low is not None:
         out = out | (value < rule.low)
@@ -60,20 +62,32 @@ def broken(rule: Rule) -> Column:
     return out
 
 
+def _used(rules) -> set[str]:
+    return {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"} | {c for r in rules for c in (r.part, r.whole) if c}
+
+
+def judge(text: Column, rules=RULES) -> Column:
+    """struct of the statistics, ``base_failed``, ``broken_rules`` (names of
+    the rules that do not hold) and ``kept``, as one expression: wherever the
+    optimizer moves a use of it, a text is read once for it."""
+    names = [n for n in STAT_COLUMNS if n in _used(rules)]
+
+    def of(s):
+        names_of = F.array(*[F.when(broken(r, s), F.lit(r.name)) for r in rules]) if rules else F.array().cast("array<string>")
+        return bind(F.filter(names_of, lambda x: x.isNotNull()), lambda b: F.struct(
+            *[s[n].alias(n) for n in names], base_failed(s).alias("base_failed"), b.alias("broken_rules"),
+            (~base_failed(s) & (F.size(b) == 0)).alias("kept")))
+    return bind(stats(text, names), of)
+
+
 def apply_rules(df: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
-    """``df`` with the statistics, ``base_failed``, ``broken_rules``
-    (array<string>, the names of the rules that do not hold) and ``kept``."""
-    used = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"}
-    out = with_stats(df, used | {c for r in rules for c in (r.part, r.whole) if c}, text_col)
-    out = out.drop("base_failed", "broken_rules", "kept")
-    names = [F.when(broken(r), F.lit(r.name)) for r in rules]
-    found = F.filter(F.array(*names), lambda x: x.isNotNull()) if names else F.array().cast("array<string>")
-    return (out.withColumn("base_failed", base_failed()).withColumn("broken_rules", found)
-            .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0)))
+    """``df`` with a column for each field of ``judge``."""
+    written = {*_used(rules), "base_failed", "broken_rules", "kept", "__judged"} - {text_col}
+    names = [f"`{c}`" for c in df.columns if c.lower() not in written]
+    one = df.select(*names, judge(F.col(f"`{text_col}`"), rules).alias("__judged"))
+    return one.select(*names, "__judged.*")
 
 
 def keep_good(df: DataFrame, rules=RULES, text_col: str = "text") -> DataFrame:
     """The rows whose text passes, with exactly the columns of ``df``."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
-    judged = apply_rules(df.select(row, F.col(f"`{text_col}`").alias("__text")), rules, "__text")
-    return judged.filter("kept").select("__row.*")
+    return df.filter(judge(F.col(f"`{text_col}`"), rules)["kept"])

@@ -113,29 +113,34 @@ CHAR_COLUMNS = ("n_chars", "n_symbols", "n_upper", "n_digits")
 STAT_COLUMNS = WORD_COLUMNS + LINE_COLUMNS + CHAR_COLUMNS
 
 
-def with_stats(df: DataFrame, names=STAT_COLUMNS, text_col: str = "text", stop_words=STOP_WORDS) -> DataFrame:
-    """``df`` with a long column for each statistic of ``names``; input
-    columns of these names (and ``__words``, ``__lines``) are replaced.
+def stats(text: Column, names=STAT_COLUMNS, stop_words=STOP_WORDS) -> Column:
+    """struct<long ...> of the statistics ``names`` as one expression: words
+    and lines are split once, wherever the optimizer puts it.
 
     n_stop counts a stop word in lower case, capitalised or in upper case;
-    n_adjacent the words equal to the word before; n_upper upper-case letters.
-    Words and lines are split once per row: Catalyst keeps the two projections
-    apart because the second one uses the costly columns several times."""
+    n_adjacent the words equal to the word before; n_upper upper-case letters."""
     unknown = set(names) - set(STAT_COLUMNS)
     if unknown:
         raise ValueError(f"unknown statistics: {sorted(unknown)}")
-    own = {c.lower() for c in (*names, "__words", "__lines")} - {text_col.lower()}
-    clean = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in own])
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     stop = sorted({v for w in stop_words for v in (w, w.capitalize(), w.upper())})
-    of_words = [n for n in WORD_COLUMNS if n in names]
-    of_lines = [n for n in LINE_COLUMNS if n in names]
-    costly = []
-    if of_words:
-        costly.append(bind(words(text), lambda w: F.struct(*[_word_stat(n, w, stop).alias(n) for n in of_words])).alias("__words"))
-    if of_lines:
-        costly.append(line_stats(text).alias("__lines"))
-    plain = [n for n in CHAR_COLUMNS if n in names]
-    one = clean.select("*", *costly, *[_char_stat(n, text).alias(n) for n in plain])
-    return one.select(*[f"`{c}`" for c in clean.columns], *[F.col("__words")[n].alias(n) for n in of_words],
-                      *[F.col("__lines")[n].alias(n) for n in of_lines], *plain)
+    t = F.coalesce(text, F.lit(""))
+
+    def fields(w, lines):
+        return F.struct(*[(_word_stat(n, w, stop) if n in WORD_COLUMNS else lines[n] if n in LINE_COLUMNS else _char_stat(n, t)).alias(n)
+                          for n in STAT_COLUMNS if n in names])
+
+    def with_lines(w):
+        return bind(line_stats(t), lambda x: fields(w, x)) if set(LINE_COLUMNS) & set(names) else fields(w, None)
+    return bind(words(t), with_lines) if set(WORD_COLUMNS) & set(names) else with_lines(None)
+
+
+def with_stats(df: DataFrame, names=STAT_COLUMNS, text_col: str = "text", stop_words=STOP_WORDS) -> DataFrame:
+    """``df`` with a long column for each statistic of ``names``; input
+    columns of these names (and ``__stats``) are replaced.  Catalyst keeps the
+    two projections apart because the second one uses the costly struct
+    several times; a filter on several of the columns would be pushed below
+    them and repeat it, so filters use one expression over ``stats``."""
+    own = {c.lower() for c in (*names, "__stats")} - {text_col.lower()}
+    clean = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in own])
+    one = clean.select("*", stats(F.col(f"`{text_col}`"), names, stop_words).alias("__stats"))
+    return one.select(*[f"`{c}`" for c in clean.columns], *[F.col("__stats")[n].alias(n) for n in STAT_COLUMNS if n in names])
