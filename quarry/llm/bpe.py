@@ -95,7 +95,7 @@ def literal(values: list, kind: str) -> Column:
 
 
 class Vocabulary:
-    """Literals made from a rank file: bytes, pairs, and pieces by id."""
+    """Literals made from a rank file: ids of bytes, merged ids of pairs."""
 
     def __init__(self, path: str):
         ranks = read_ranks(path)
@@ -108,8 +108,6 @@ class Vocabulary:
                     pairs[left * self.size + right] = rank
         self.of_byte = literal([ranks[bytes([b])] for b in range(256)], "array<int>")
         self.pairs = Places(list(pairs), [k * self.size + r for k, r in pairs.items()], "bigint")
-        by_id = {r: t for t, r in ranks.items()}
-        self.hex = literal([by_id[i].hex() if i in by_id else None for i in range(self.size)], "array<string>")
 
     def fold(self, word: Column) -> Column:
         """array<int>: the ids of a piece.  State: the ids and, for each, the
@@ -276,5 +274,6 @@ def encode_native(df: DataFrame, path: str, pattern: str, text_col: str = "text"
 
 def decode(ids: Column, path: str) -> Column:
     """binary: the pieces of the ids, concatenated."""
-    table = Vocabulary(path).hex
+    by_id = {r: t.hex() for t, r in read_ranks(path).items()}
+    table = literal([by_id.get(i) for i in range(max(by_id) + 1)], "array<string>")
     return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), ""))

@@ -8,15 +8,17 @@ Nothing is collected but two numbers a round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.session import store
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row.n, row.h
+def _stored(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and their number and hash sum from the same job."""
+    seen = Observation()
+    out = store(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), "edges")
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def _star(pairs: DataFrame) -> DataFrame:
@@ -29,9 +31,7 @@ def _star(pairs: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """Undirected edges (a, b) -> (node, root), root being the least node of
     the component.  Nodes without an edge to another node do not appear."""
-    now = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .filter("a <> b").distinct(), "edges")
-    mark = _mark(now)
+    now, mark = _stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     while True:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -40,8 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
         starred = _star(down)
         small = starred.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             starred.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
-        now = store(small, "edges")
-        after = _mark(now)
+        now, after = _stored(small)
         if after == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
