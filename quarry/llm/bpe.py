@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import bind
 
 HOT_WORDS = 200_000
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 250_000
 SHORT, NO_RANK = 64, 1 << 60
 #: Pieces longer than this many characters are not kept.
 HOT_LENGTH = 64

@@ -277,7 +277,7 @@ _WORKER: dict[tuple, _Pieces] = {}
 
 def write(df: DataFrame, path: str, tokenizer: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
           end_id: int = END_ID, block_ids: int = BLOCK_IDS, lanes: int = LANES, segment_ids: int = SEGMENT_IDS,
-          cache_pieces: int = 500_000) -> None:
+          cache_pieces: int = 250_000) -> None:
     """Write the ids of all texts as token files under ``path``.
 
     ``tokenizer`` is a tokenizer file; ``pattern`` is its splitting pattern:
