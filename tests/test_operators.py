@@ -57,21 +57,21 @@ def test_knn_exact_with_ties_and_small_corpus(spark):
     cdf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "id long, embedding array<float>")
     qdf = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(queries)],
                                 "query_id string, embedding array<float>")
-    got = knn(cdf.repartition(3), qdf, 4).collect()
+    got = knn(cdf.repartition(3), qdf, 4, dim=8).collect()
     for qi, q in enumerate(queries):
         d = [float(sum((float(a) - float(b)) ** 2 for a, b in zip(q, c))) for c in corpus]
         exp = sorted(range(len(corpus)), key=lambda j: (d[j], j))[:4]
         mine = sorted((r["rank"], r["id"]) for r in got if r["query_id"] == f"q{qi}")
         assert [i for _, i in mine] == exp
-    assert len(knn(cdf.limit(2), qdf, 5).collect()) == 2 * len(queries)
+    assert len(knn(cdf.limit(2), qdf, 5, dim=8).collect()) == 2 * len(queries)
 
 
 def test_knn_chunked_queries_equal_single_pass(spark):
     rng = np.random.default_rng(5)
     cdf = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "id long, embedding array<float>")
     qdf = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(30)], "query_id long, embedding array<float>")
-    one = sorted(tuple(r) for r in knn(cdf, qdf, 3).collect())
-    many = sorted(tuple(r) for r in knn(cdf, qdf, 3, max_query_bytes=8 * 4 * 64 * 5).collect())
+    one = sorted(tuple(r) for r in knn(cdf, qdf, 3, dim=4).collect())
+    many = sorted(tuple(r) for r in knn(cdf, qdf, 3, dim=4, query_block=5, corpus_block=9, group_blocks=2).collect())
     assert one == many
 
 

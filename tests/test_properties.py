@@ -17,7 +17,7 @@ def test_scrape_counters_add_up(spark):
 
 
 def test_scrape_rerun_adds_nothing(spark):
-    lines, snaps = D.url_lines(spark, SF_SMALL), WL._snapshots(spark, SF_SMALL)
+    lines, snaps = D.url_lines(spark, SF_SMALL), D.snapshot_rows(spark, SF_SMALL)
     first = scrape(lines, snaps, D.raw_prior(spark, SF_SMALL), run_ts=D.RUN_TS)
     prior = D.raw_prior(spark, SF_SMALL).select("url", "status").unionByName(first.records.select("url", "status"))
     again = scrape(lines, snaps, prior, run_ts=D.RUN_TS)
