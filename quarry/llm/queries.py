@@ -69,9 +69,10 @@ def op8_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", n_bytes, "text"), keep_text=False)
     return cut.select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "doc_id", "n_bytes",
         F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]).alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -13,12 +13,13 @@ only 2 * length - k columns matter, and only strings with an equal anchor can
 match; rounds run over bounded collections of such strings, in memory, so no
 external files are needed.
 
-Scale: one scan makes about two anchors per ``length`` bytes; equal contexts
-are combined before and after the shuffle, so copies and common passages
-become one string.  Only contexts that differ around an equal anchor are
-fetched and sorted.  Anchors with more contexts than ``group_most`` are not
-gathered: their windows are counted by hash instead (map-side combined),
-which gives the same result.  Texts are shuffled twice.
+Scale: one scan makes about two anchors per ``length`` bytes, once for the
+copies of a text in a task.  Anchors that occur once are dropped by a map-side
+combined count; equal contexts are one string.  Only contexts that differ
+around an equal anchor are fetched and sorted.  Anchors with more contexts
+than ``group_most`` are not gathered: their windows are counted by hash
+instead (map-side combined), which gives the same result.  Texts are shuffled
+twice, compressed.
 
 Defined results: null text is empty; texts shorter than ``length`` bytes lose
 nothing; equal texts of at least that length lose everything; null ids and
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ from quarry.session import store
 
 LENGTH = 400
 GRAM = 32
-GROUP_MOST = 20_000
+GROUP_MOST = 40_000
 ROUND_ROWS = 20_000
 BATCH_ROWS = 20_000
 
@@ -130,6 +132,20 @@ def repeated_starts(contexts: list[bytes], lefts: np.ndarray, length: int, gram:
     return np.concatenate(out)
 
 
+def squeeze(text) -> Column:
+    """A text's UTF-8 bytes compressed for a shuffle (binary, null for null)."""
+    @F.arrow_udf("binary")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in texts:
+            yield pa.array([None if t is None else packer.compress(t.encode()) for t in batch.to_pylist()], pa.binary())
+    return run(text)
+
+
+def spread(data: bytes | None) -> bytes:
+    return b"" if data is None else zstandard.ZstdDecompressor().decompress(data)
+
+
 def _text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.encode(text, "UTF-8")))
 
@@ -142,9 +158,12 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
              pa.array(keys, pa.binary()), pa.array(np.concatenate([r[1] for r in rows]), pa.int64())], ["a", "c", "key", "pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, n = [], 0
+        rows, n, met = [], 0, set()
         for batch in batches:
             for key, text in zip(batch.column("key"), batch.column("text")):
+                if key.as_py() in met:
+                    continue
+                met.add(key.as_py())
                 rows.append((key.as_py(), *anchors(Bytes(text.as_py().encode()), length, gram)))
                 n += len(rows[-1][1])
                 if n >= BATCH_ROWS:
@@ -158,7 +177,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
     """(a, c, left, context) of the wanted (a, c, key, pos)."""
     lists = wanted.groupBy("key").agg(F.collect_list(F.struct("pos", "a", "c")).alias("places"))
-    one = texts.groupBy("key").agg(F.first("text").alias("text"))
+    one = texts.select("key", squeeze("text").alias("text")).groupBy("key").agg(F.first("text").alias("text"))
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -168,7 +187,7 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, gram: int) -> Da
         rows = []
         for batch in batches:
             for text, places in zip(batch.column("text"), batch.column("places")):
-                data = text.as_py().encode()
+                data = spread(text.as_py())
                 for x in places.as_py():
                     lo, hi = max(x["pos"] + gram - length, 0), min(x["pos"] + length, len(data))
                     rows.append((x["a"], x["c"], lo - x["pos"], data[lo:hi]))
@@ -209,14 +228,21 @@ def _runs_by_rounds(contexts: DataFrame, length: int, gram: int, round_rows: int
 def _runs_by_count(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same runs for anchors with very many contexts: every window is
     counted by its hash."""
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([r[i] for r in rows]), pa.int64()) for i in range(4)], ["a", "c", "start", "h"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in batches:
             for a, c, left, context in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 starts = np.arange(0, min(len(context) - length, -left) + 1)
-                h = Bytes(context).hashes(starts, starts + length)
-                n = len(starts)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, a)), pa.array(np.full(n, c)), pa.array(starts + left, pa.int64()),
-                                                  pa.array(h.view(np.int64))], ["a", "c", "start", "h"])
+                h = Bytes(context).hashes(starts, starts + length).view(np.int64)
+                rows.append((np.full(len(starts), a), np.full(len(starts), c), starts + left, h))
+                if len(rows) >= 256:
+                    yield batch_of(rows)
+                    rows = []
+        if rows:
+            yield batch_of(rows)
     windows = contexts.mapInArrow(run, "a bigint, c bigint, start bigint, h bigint")
     twice = windows.groupBy("a", "start", "h").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("a", "start", "h")
     return windows.join(twice, ["a", "start", "h"]).select("a", "c", "start", (F.col("start") + length).alias("end"))
@@ -229,19 +255,24 @@ def repeated_spans(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     may overlap)."""
     text = F.col(f"`{text_col}`")
     texts = df.filter(F.octet_length(text) >= length).select(_text_key(text).alias("key"), text.alias("text"))
-    found = store(_anchor_rows(texts, length, gram).groupBy("a", "c", "key", "pos").agg(F.count("*").alias("n")), "anchors")
-    classes = found.groupBy("a", "c").agg(F.sum("n").alias("total"), F.min(F.struct("key", "pos")).alias("one"))
-    per_anchor = classes.groupBy("a").agg(F.count("*").alias("contexts"), F.sum("total").alias("all"))
-    classes = store(classes.join(per_anchor.filter("all > 1"), "a"), "contexts")
+    found = store(_anchor_rows(texts, length, gram), "anchors")
+    often = store(found.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a"), "frequent-anchors")
+    repeated = store(found.join(often, "a"), "repeated-anchors")
+    place = F.struct("key", "pos")
+    classes = repeated.groupBy("a", "c").agg(F.min(place).alias("one"), F.max(place).alias("last"))
+    per_anchor = classes.groupBy("a").agg(F.count("*").alias("contexts"))
+    classes = store(classes.join(per_anchor, "a").filter("contexts > 1 OR one <> last"), "contexts")
     wanted = classes.filter("contexts > 1").select("a", "c", "one.key", "one.pos", "contexts")
-    fetched = store(_contexts(texts, wanted.drop("contexts"), length, gram), "context-bytes")
-    many = classes.filter(F.col("contexts") > group_most).select("a").distinct()
-    runs = _runs_by_rounds(fetched.join(many, "a", "left_anti"), length, gram, round_rows).union(
-        _runs_by_count(fetched.join(many, "a", "left_semi"), length, gram))
-    whole = classes.filter("total > 1").select("a", "c", F.lit(gram - length).cast("long").alias("start"), F.lit(length).cast("long").alias("end"))
-    spans = found.select("a", "c", "key", "pos").join(runs.union(whole), ["a", "c"]).select(
+    few, many = wanted.filter(F.col("contexts") <= group_most), wanted.filter(F.col("contexts") > group_most)
+    runs = _runs_by_rounds(_contexts(texts, few.drop("contexts"), length, gram), length, gram, round_rows)
+    if not many.isEmpty():
+        runs = runs.union(_runs_by_count(store(_contexts(texts, many.drop("contexts"), length, gram), "context-bytes"), length, gram))
+    whole = classes.filter("one <> last").select("a", "c", F.lit(gram - length).cast("long").alias("start"), F.lit(length).cast("long").alias("end"))
+    spans = repeated.join(runs.union(whole), ["a", "c"]).select(
         "key", F.struct(F.greatest(F.col("pos") + F.col("start"), F.lit(0)).alias("start"), (F.col("pos") + F.col("end")).alias("end")).alias("span"))
-    return spans.groupBy("key").agg(F.collect_set("span").alias("spans"))
+    copies = texts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "key", F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end")).alias("span"))
+    return spans.union(copies).groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
 def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], bytes]:
@@ -257,24 +288,32 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[list[tuple[int, int]
     return [tuple(r) for r in runs], b"".join(data[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def remove_repeats(df: DataFrame, text_col: str = "text", keep_text: bool = True, **options) -> DataFrame:
     """``df`` with ``removed`` (array<struct<start, end>>, maximal byte runs in
     order) and ``kept`` (binary, what stays); input columns of these names are
-    replaced."""
+    replaced.  Without ``keep_text`` the text column itself is left out."""
     spans = repeated_spans(df, text_col, **options)
-
-    @F.arrow_udf("struct<removed:array<struct<start:bigint,end:bigint>>,kept:binary>")
-    def apply(text: pa.Array, found: pa.Array) -> pa.Array:
-        runs, kept = [], []
-        for t, s in zip(text, found):
-            r, k = cut((t.as_py() or "").encode(), [(x["start"], x["end"]) for x in s.as_py() or []])
+    kind = "text string, " if keep_text else ""
+
+    @F.arrow_udf(f"struct<{kind}removed array<struct<start:bigint,end:bigint>>, kept binary>")
+    def apply(texts: pa.Array, found: pa.Array) -> pa.Array:
+        runs, kept, whole = [], [], []
+        for t, s in zip(texts, found):
+            data = spread(t.as_py())
+            r, k = cut(data, [(x["start"], x["end"]) for x in s.as_py() or []])
             runs.append([{"start": a, "end": b} for a, b in r])
             kept.append(k)
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        return pa.StructArray.from_arrays([pa.array(runs, kind), pa.array(kept, pa.binary())], ["removed", "kept"])
+            if keep_text:
+                whole.append(data.decode() if t.is_valid else None)
+        columns = {"removed": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(kept, pa.binary())}
+        if keep_text:
+            columns = {"text": pa.array(whole, pa.string())} | columns
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
-    names = [c for c in df.columns if c.lower() not in ("removed", "kept")]
     text = F.col(f"`{text_col}`")
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), text.alias("__text"), _text_key(text).alias("__key"))
-    joined = rows.join(spans.select(F.col("key").alias("__key"), "spans"), "__key", "left")
-    return joined.withColumn("__cut", apply("__text", "spans")).select("__row.*", "__cut.removed", "__cut.kept")
+    names = [c for c in df.columns if c.lower() not in ("removed", "kept") and (keep_text or c != text_col)]
+    others = F.struct(F.lit(0).alias("__"), *[F.col(f"`{c}`") for c in names if c != text_col])
+    rows = df.select(others.alias("__row"), squeeze(text).alias("__text"), _text_key(text).alias("__key"))
+    joined = rows.join(spans.select(F.col("key").alias("__key"), "spans"), "__key", "left").withColumn("__cut", apply("__text", "spans"))
+    back = [F.col("__cut.text").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in names]
+    return joined.select(*back, "__cut.removed", "__cut.kept")
