@@ -45,6 +45,7 @@ END_ID = 2
 BLOCK_IDS = 4096
 LANES = 512  # blocks coded in step
 SEGMENT_IDS = 1 << 16
+BROADCAST_PARTS = 1_000_000  # 16 bytes each
 MAGIC = b"QTK1"
 
 CLASSES = 18  # size classes 0..17 of id + 1
@@ -351,6 +352,8 @@ def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
     parts = files.groupBy("part").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
     starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__base"))
+    if parts.count() <= BROADCAST_PARTS:  # else the ids themselves are dealt out by part
+        starts = F.broadcast(starts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
