@@ -121,3 +121,13 @@ def test_offline_annotator_moves_nothing(spark):
     out = offline_annotator(docs)
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.first()["raw_text"] == '{"summary":"Beta beta alpha. Gamma? alpha delta!","topics":["alpha","beta","delta","gamma","more"]}'
+
+
+def test_records_with_defaults_and_numbers_as_text(spark, tmp_path):
+    from quarry.sources.jsonl import quarantined, read_records, valid_rows
+    (tmp_path / "r.jsonl").write_text('{"url":"u1","text":"t"}\n{"url":"u2","http_status":"200","chars":"7","status":"failed","topics":["a"]}\n{"url":"u3","chars":3}\n{"url": bad\n')
+    back = read_records(spark, str(tmp_path), ENRICHED)
+    rows = {r.url: r for r in valid_rows(back).collect()}
+    assert [(r.status, r.chars, r.topics, r.http_status) for r in (rows["u1"], rows["u2"], rows["u3"])] == [
+        ("ok", 0, [], None), ("failed", 7, ["a"], 200), ("ok", 3, [], None)]
+    assert len(rows) == 3 and quarantined(back.cache()).count() == 1
