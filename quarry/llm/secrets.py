@@ -1,7 +1,8 @@
 """Secret scans: candidates filtered by a random forest, all in Spark columns.
 
 Candidates are runs of token characters in the words of a text: long runs
-anywhere, and shorter ones that are assigned to a name such as ``password``.
+anywhere, and shorter ones after a name such as ``password`` and a separator,
+in the same word (every one, not only the last) or the words before.
 A forest trained from labelled findings decides on length, character classes
 and transitions, dictionary coverage, path and neighbouring words; its trees
 are compiled to column expressions, so scanning is one projection over one
@@ -45,9 +46,15 @@ PAIRS = ("th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es",
          "ch", "ie", "ei", "un", "qu", "ai", "la", "el", "os", "ci")
 
 LONG = r"[A-Za-z0-9+/_=\-.]{16,}"
-SHORT = r"[^\s\"'`,;:=<>()\[\]{}]{6,}"
+# beside a name, ``=`` is part of a run as padding at its end only, and the next parameter of a query string ends it
+PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=\-.]))?"
+LONG_PART = r"[A-Za-z0-9+/_\-.]{16,}" + PADDING
+SHORT = r"(?:(?!&[\w.%\-]+=)[^\s\"'`,;:=<>()\[\]{}]){6,}+" + PADDING
+PADDED = r"^(?:[A-Za-z0-9+/_\-]{4})*[A-Za-z0-9+/_\-]{2,3}={1,2}$"
 NAMED = rf"(?i)(?:{'|'.join(SECRET_NAMES)})"
-PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]*-----END [A-Z ]*PRIVATE KEY-----"
+ASSIGNED = NAMED + r"[\"']?(?:=>|:=|[:=])"
+# a body may hold hyphens (headers of encrypted keys); no block reaches over the start or end of another
+PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?!-----(?:BEGIN|END) )[\s\S])*+-----END [A-Z ]*PRIVATE KEY-----"
 THRESHOLD = 0.5
 FEATURES = ("length", "digits", "uppers", "lowers", "others", "runs", "pairs", "vowels", "distinct", "is_hex", "coverage",
             "slashes", "dots", "at_sign", "test_path", "secret_near", "other_near", "assigned", "quoted")
@@ -152,25 +159,41 @@ def score(forest: list, found: Column) -> Column:
 
 
 def _candidates(w: Column) -> Column:
-    """array<struct<value, word, before, after>> over the words of a text."""
+    """array<array<struct<at, value, word, before, after>>> of the words of a text."""
     def context(i):
         return F.array_join(F.slice(w, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), " ")
 
-    def named(x, i):
-        return F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).rlike(NAMED + r"[\"']?\s*(?:=>|:=|[:=])$") | x.rlike(NAMED + r"[\"']?(?:=>|:=|[:=])")
+    def led(i):
+        return F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).rlike(NAMED + r"[\"']?\s*(?:=>|:=|[:=])$")
+
+    def all_of(x, pattern):
+        return F.regexp_extract_all(x, F.lit(pattern), F.lit(0))
+
+    def runs(x, i):
+        tail = F.when(led(i), x).otherwise(F.regexp_extract(x, f"(?s){ASSIGNED}(.*)$", 1))
+        head = F.substring(x, F.lit(1), F.length(x) - F.length(tail))
+        values = bind(all_of(tail, SHORT), lambda v: F.concat(v, F.filter(all_of(tail, LONG_PART), lambda y: ~F.array_contains(v, y))))
+        return F.when(led(i) | x.rlike(ASSIGNED), F.concat(all_of(head, LONG_PART), values)).otherwise(all_of(x, LONG))
+
+    def before(x, i, v):
+        # a word with a name of its own may hold several pairs: what went before the pair's own delimiter is not its context
+        start = F.call_function("substring_index", x, v, F.lit(1))
+        own = ~led(i) & x.rlike(ASSIGNED) & start.rlike("[,;&?{}]")
+        return F.when(own, F.regexp_replace(start, "(?s)^.*[,;&?{}]", "")).otherwise(F.concat(context(i), F.lit(" "), start))
 
     def of_word(i):
         x = F.get(w, i)
-        runs = F.when(named(x, i), F.regexp_extract_all(F.regexp_replace(x, "^.*[:=]", ""), F.lit(SHORT), F.lit(0))).otherwise(
-            F.regexp_extract_all(x, F.lit(LONG), F.lit(0)))
-        return F.transform(runs, lambda v: F.struct(
-            F.regexp_replace(v, r"[.=#*$%&|<>]+$", "").alias("value"), x.alias("word"),
-            F.concat(context(i), F.lit(" "), F.call_function("substring_index", x, v, F.lit(1))).alias("before"),
+        found = F.transform(runs(x, i), lambda v: F.struct(
+            F.instr(x, v).alias("at"),
+            F.when(v.rlike(PADDED) & (F.length(v) % 4 == 0), v).otherwise(F.regexp_replace(v, r"[.=#*$%&|<>]+$", "")).alias("value"),
+            x.alias("word"),
+            before(x, i, v).alias("before"),
             F.coalesce(F.get(w, i + 1), F.lit("")).alias("after")))
+        return F.array_sort(F.filter(found, lambda c: F.length(c["value"]) >= 6))
 
     places = F.transform(w, lambda x, i: F.when(x.rlike(LONG) | (x.rlike("[:=]") & x.rlike(NAMED)) | (
-        (i > 0) & F.get(w, i - 1).rlike("[:=]$") & named(x, i)), i))
-    return F.filter(F.flatten(F.transform(F.filter(places, lambda i: i.isNotNull()), of_word)), lambda c: F.length(c["value"]) >= 6)
+        (i > 0) & F.get(w, i - 1).rlike("[:=>]$") & led(i)), i))
+    return F.transform(F.filter(places, lambda i: i.isNotNull()), of_word)
 
 
 def scan(df: DataFrame, forest: list, text_col: str = "text", path_col: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
@@ -181,12 +204,20 @@ def scan(df: DataFrame, forest: list, text_col: str = "text", path_col: str | No
     def scored(c):
         return F.struct(c["value"].alias("value"), bind(
             features(c["value"], c["word"], c["before"], c["after"], path), lambda f: score(forest, f)).alias("score"))
+
+    def outermost(found):
+        # a run inside a longer secret of its word is no second secret
+        def within(a, b):
+            return (F.length(a["value"]) < F.length(b["value"])) & b["value"].contains(a["value"])
+        return bind(F.filter(found, lambda s: s["score"] >= threshold), lambda kept: F.filter(
+            kept, lambda s: ~F.exists(kept, lambda o: within(s, o))))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     blocks = F.transform(F.regexp_extract_all(text, F.lit(PRIVATE_KEY), F.lit(0)), lambda b: F.struct(b.alias("value"), F.lit(1.0).alias("score")))
     found = df.drop("candidates", "secrets").withColumn("__found", bind(words(text), _candidates))
-    found = found.withColumn("__scored", F.concat(blocks, F.transform("__found", scored)))
-    return (found.withColumn("candidates", F.size("__scored").cast("long"))
-            .withColumn("secrets", F.filter("__scored", lambda s: s["score"] >= threshold)).drop("__found", "__scored"))
+    found = found.withColumn("__blocks", blocks).withColumn("__scored", F.transform("__found", lambda x: F.transform(x, scored)))
+    return (found.withColumn("candidates", (F.size("__blocks") + F.size(F.flatten("__scored"))).cast("long"))
+            .withColumn("secrets", F.concat(F.filter("__blocks", lambda s: s["score"] >= threshold), F.flatten(F.transform("__scored", outermost))))
+            .drop("__found", "__blocks", "__scored"))
 
 
 def redact(df: DataFrame, forest: list, text_col: str = "text", path_col: str | None = "source",

@@ -1,5 +1,6 @@
 """Operators against SQL, other libraries and brute force."""
 
+import base64
 import hashlib
 import itertools
 import random
@@ -120,6 +121,27 @@ def test_secrets_and_look_alikes(spark):
     assert clean[0] == 'api_key = "[SECRET]"' and clean[2] == rows[2][0] and clean[7] == "[SECRET]"
 
 
+def test_secrets_anywhere_in_a_word(spark):
+    def b64(text):
+        return base64.b64encode(hashlib.sha256(text.encode()).digest()).decode()
+    padded, plain = b64("2"), b64("3").translate(str.maketrans("+/=", "aB3"))
+    gh, sk, hx = "ghp_" + plain[:36], "sk-" + plain[:40], hashlib.sha256(b"1").hexdigest()[:40]
+    pem = (f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,{hx[:32].upper()}\n\n"
+           f"{padded}\n-----END RSA PRIVATE KEY-----")
+    rows = [(f"api_key={padded}", "api_key=[SECRET]"), (f'api_key = "{padded}"', 'api_key = "[SECRET]"'),
+            ('{"api_key":"%s","user":"bob"}' % sk, '{"api_key":"[SECRET]","user":"bob"}'),
+            ('{"api_key":"%s","username":"bobby_brown","id":"%s"}' % (sk, hx), '{"api_key":"[SECRET]","username":"bobby_brown","id":"%s"}' % hx),
+            (f"token={gh};path=/", "token=[SECRET];path=/"), (f"https://x/cb?token={gh}&lang=en", "https://x/cb?token=[SECRET]&lang=en"),
+            (f'{{"token":"{hx}","secret":"{sk}"}}', '{"token":"[SECRET]","secret":"[SECRET]"}'),
+            (f"token={gh}&password=hZ7!qk2Lw9", "token=[SECRET]&password=[SECRET]"), (f"a {pem} z", "a [SECRET] z")]
+    docs = spark.createDataFrame([(i, t, "src/app") for i, (t, _) in enumerate(rows)], "doc_id long, text string, source string")
+    forest = secrets.train(secrets.labelled_findings(spark))
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, forest).collect()}
+    assert [clean[i] for i in range(len(rows))] == [c for _, c in rows]
+    found = {r.doc_id: [s.value for s in r.secrets] for r in secrets.scan(docs, forest).collect()}
+    assert found[0] == found[1] == [padded] and found[2] == [sk] and found[6] == [hx, sk] and found[8][0] == pem
+
+
 # ------------------------------------------------------------------ BPE
 
 @pytest.mark.parametrize("form", ["arrow", "native"])
