@@ -54,7 +54,7 @@ ADJACENT, SAME_CONTAINER = 0.6, 0.9
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _DELIMITER = re.compile(r"[\"'>]")
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*)))?""")
 _SIDE = re.compile(
     r"(?:^|[\s_-])(?:nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|footer|foot|header|masthead|cookies?|consent|gdpr|notices?|alerts?|"
     r"banners?|ads?|adverts?\w*|advertisement|sponsor\w*|promo\w*|comments?|replies|reply|disqus|share|sharing|social|related|recommend\w*|"

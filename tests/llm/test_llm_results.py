@@ -71,6 +71,20 @@ def test_main_text_of_a_page():
         "The first point of the list is here.", "The second one as well.", "A cell of the table.", "Another cell."]
 
 
+@pytest.mark.parametrize("attribute", [
+    'href="/the-hidden-valley"', 'title="hidden gems"', 'aria-label="hidden costs"', "data-hidden='no'", "data-style='display:none'", 'data-id="footer"',
+    'title="class=footer id=menu role=navigation"', 'aria-hidden="false"', "data-class=sidebar", 'alt="a > b hidden"', 'title="style=\'display:none\'"'])
+def test_other_attributes_are_no_marks(attribute):
+    text = "The river runs to the sea, and all of the town was there."
+    assert html_extract.main_text(f"<article {attribute}><p>{text}</p></article>")[0] == text
+    assert html_extract.main_text(f"<article><p>The <a {attribute}>river</a> runs to the sea, and all of the town was there.</p></article>")[0] == text
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", "a=b hidden", 'x="y"hidden', "aria-hidden = true", "style='color:red; display : none'", "class='a' hidden/"])
+def test_hidden_elements_are_skipped(attribute):
+    assert html_extract.main_text(f"<article><div {attribute} ><p>The river runs to the sea, and all of it.</p></div></article>")[0] == ""
+
+
 def test_main_text_of_the_pages_table(spark):
     for r in W["op2_html"](spark, SF_SMALL).join(table(spark, "pages").select("page_id", "html"), "page_id").collect():
         inside = re.search("<article>(.*?)</article>", r.html, re.S)[1]
