@@ -24,6 +24,7 @@ import math
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -55,12 +56,25 @@ ADJACENT, SAME_CONTAINER = 0.6, 0.9
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _DELIMITER = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*)))?""")
-_SIDE = re.compile(
-    r"(?:^|[\s_-])(?:nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|footer|foot|header|masthead|cookies?|consent|gdpr|notices?|alerts?|"
-    r"banners?|ads?|adverts?\w*|advertisement|sponsor\w*|promo\w*|comments?|replies|reply|disqus|share|sharing|social|related|recommend\w*|"
-    r"more|login|signin|signup|subscri\w*|newsletter|popup|modal|dialog|overlay|widget|toolbar|pagination|pager|tags|search|form|"
-    r"copyright|legal|disclaimer|skip)(?:$|[\s_-])", re.I)
+# Words of class names and ids that say boilerplate: always, or only as a whole name, its last word or beside words of GENERIC.
+_HARD = re.compile(
+    r"(?:nav(?:s|bar|igation|list|links?|menu)?|menu\w*|breadcrumbs?|sidebar|aside|footer|masthead|cookies?|consent|gdpr|"
+    r"banners?|ads?|adverts?\w*|sponsor\w*|promo\w*|comments?|disqus|sharing|related|recommend\w*|"
+    r"login|signin|signup|subscri\w*|newsletter|popup|modal|overlay|widget|toolbar|pagination|pager|copyright|disclaimer)")
+_SOFT = re.compile(r"(?:side|foot|header|notices?|alerts?|replies|reply|share|social|more|dialog|tags|search|form|legal|skip)")
+_GENERIC = re.compile(
+    r"(?:\d+|left|right|top|bottom|area|wrap|wrapper|container|box|list|section|inner|outer|block|items?|group|bar|links?|buttons?|icons?|"
+    r"primary|secondary|site|media|stories|posts|results|to)")
+_PARTS = re.compile(r"[_-]+")
+#: Names that tell of a page what it has, is or is about: those that begin with such a word, end with a state, or name a layout.
+MODIFIERS = frozenset("has no not with without is hide show tag category cat type format status layout template theme topic term".split())
+STATES = frozenset("open opened closed active inactive visible hidden enabled disabled collapsed expanded accepted loaded ready on off".split())
+LAYOUTS = frozenset("layout template theme page".split())
+ROLES = frozenset("navigation complementary contentinfo banner search form menu menubar toolbar dialog alert alertdialog".split())
+#: Evidence of a name that says boilerplate in part, as a share of ``boilerplate``.
+WEAK = 1 / 6
 _MAIN = re.compile(r"(?:^|[\s_-])(?:article\w*|main|content|post|entry|story|text|body|page)(?:$|[\s_-])", re.I)
+_MAIN_NAME = re.compile(r"article|main|content|post|entry|story", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _LEGAL = re.compile(r"©|\(c\)\s|copyright|all rights reserved|privacy policy|terms of (?:use|service)", re.I)
 _PROMPT = re.compile(r"^(?:advertisement|sponsored|subscribe|sign (?:in|up)|log ?in|share (?:this|on)|read more|click here|accept|"
@@ -72,7 +86,7 @@ class Block(NamedTuple):
     place: int  # of the container that holds it
     tag: str
     content: bool  # inside a container of the main text
-    side: bool  # inside a container of something else
+    side: float  # evidence, 0 to 1, of being inside a container of something else
     linked: float  # share of characters in links
 
 
@@ -80,8 +94,9 @@ class _Open(NamedTuple):
     tag: str
     place: int
     content: bool
-    side: bool
+    side: float
     skipped: bool
+    fixed: bool = False  # inside an element, not only names, of something else
 
 
 def _tag_end(page: str, p: int, last: dict[str, int]) -> int:
@@ -96,30 +111,72 @@ def _tag_end(page: str, p: int, last: dict[str, int]) -> int:
     return len(page)
 
 
-def _flags(tag: str, attributes: str, parent: _Open) -> tuple[bool, bool, bool]:
-    """content, side, skipped of an element."""
-    content, side, skipped = parent.content, parent.side, parent.skipped or tag in SKIPPED
-    if tag in ("nav", "aside", "footer", "form", "dialog", "menu") or (tag == "header" and not content):
-        side = True
-    elif tag in ("article", "main"):
-        content = True
+def _side_of(name: str) -> float:
+    """Evidence, 0 to 1, of one class name or id that its element is boilerplate."""
+    parts = [x for x in _PARTS.split(name.lower().split("--")[0]) if x]
+    if not parts or parts[0] in MODIFIERS or "by" in parts or (len(parts) > 1 and parts[-1] in STATES):
+        return 0.0
+    at = next((i for i, x in enumerate(parts) if x in ("has", "no", "with", "without")), len(parts))
+    parts = parts[:at]  # what stands before "with" is the thing itself
+    if any(_HARD.fullmatch(x) for x in parts):
+        return WEAK if len(parts) > 1 and parts[-1] in LAYOUTS else 1.0
+    soft = [bool(_SOFT.fullmatch(x)) for x in parts]
+    if not any(soft):
+        return 0.0
+    if all(x or _GENERIC.fullmatch(y) for x, y in zip(soft, parts)):
+        return 1.0
+    return 1.0 if soft[-1] and not any(_MAIN.search(x) for x in parts) else WEAK
+
+
+@lru_cache(maxsize=4096)
+def _named(names: str) -> tuple[float, bool]:
+    """Evidence of boilerplate of class names or an id, and whether one says main text."""
+    all_names = names.split()
+    sides = [_side_of(x) for x in all_names]
+    side = max(sides, default=0.0)
+    if side and any(_MAIN_NAME.fullmatch(x) for x in all_names) and not any(
+            s == 1.0 and any(_HARD.fullmatch(y) for y in _PARTS.split(x.lower())) for s, x in zip(sides, all_names)):
+        side = WEAK  # names that contradict each other
+    return side, side < 1.0 and any(not s and _MAIN.search(x) for s, x in zip(sides, all_names))
+
+
+def _flags(tag: str, attributes: str, parent: _Open) -> tuple[bool, float, bool, bool]:
+    """content, side, skipped, fixed of an element."""
+    content, side, skipped, fixed = parent.content, parent.side, parent.skipped or tag in SKIPPED, parent.fixed
+    own, roles = 0.0, ""
     if attributes:
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), a or b or c
-            if name in ("class", "id", "role"):
-                if tag not in ("body", "html") and (_SIDE.search(value) or value.lower() in ("navigation", "complementary", "contentinfo", "banner")):
-                    side = True
-                elif _MAIN.search(value):
-                    content = True
+            if name == "role":
+                roles = value.strip().lower()
+            elif name in ("class", "id"):
+                found, main = _named(value)
+                own = max(own, found)
+                content = content or main
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
                 skipped = True
-    return content, side, skipped
+    if tag in ("body", "html"):
+        own = 0.0
+    elif tag == "main" or roles == "main":
+        # main text, whatever it stands in and is called
+        return True, 0.0, skipped, False
+    elif tag == "article" or roles == "article":
+        # begins anew below names; what they said of the outside remains as weak evidence
+        content = True
+        if not fixed:
+            side = 0.0 if side < 1.0 else WEAK
+        own = own if own == 1.0 else 0.0
+    if tag in ("nav", "aside", "footer", "dialog", "menu") or (tag == "header" and not parent.content) or roles in ROLES:
+        side, fixed = 1.0, tag != "header" or fixed
+    elif tag == "form":
+        side = 1.0
+    return content, max(side, own), skipped, fixed
 
 
 def read_blocks(page: str) -> list[Block]:
     """Blocks of a page in order, white space and references resolved."""
     last = {'"': page.rfind('"'), "'": page.rfind("'")}
-    root = _Open("", 0, False, False, False)
+    root = _Open("", 0, False, 0.0, False)
     stack, opened, places = [root], Counter(), 0
     blocks: list[Block] = []
     parts: list[str] = []
@@ -238,8 +295,7 @@ def log_odds(b: Block, weights: dict[str, float] = WEIGHTS) -> float:
     z += weights["links"] * b.linked
     if b.content:
         z += weights["container"]
-    if b.side:
-        z += weights["boilerplate"]
+    z += weights["boilerplate"] * b.side
     if b.text[-1] in ".!?…。»\"”:" and n > 3:
         z += weights["sentence"]
     if b.tag in HEADINGS:

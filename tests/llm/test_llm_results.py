@@ -85,6 +85,36 @@ def test_hidden_elements_are_skipped(attribute):
     assert html_extract.main_text(f"<article><div {attribute} ><p>The river runs to the sea, and all of it.</p></div></article>")[0] == ""
 
 
+PROSE = ("The river of the valley is long and it runs to the sea.", "All of the town went out to see the boats that are on it, and so did we.")
+
+
+def article(attribute, tag="div", around="", inside=""):
+    page = f"<body><nav><a href=a>Home</a></nav><{tag} {attribute}>{inside}<p>{PROSE[0]}</p><p>{PROSE[1]}</p></{tag}><footer>Us</footer>"
+    return html_extract.main_text(f"<div class='{around}'>{page}</div>")[0]
+
+
+@pytest.mark.parametrize("names", [
+    "content has-sidebar", "main no-sidebar", "post-12 hentry tag-search", "article-with-comments", "layout-side-by-side", "post category-legal menu-open",
+    "content with-widget", "search-engines-explained", "entry format-aside comments-open", "page--with-footer", "sidebar-layout", "navy"])
+@pytest.mark.parametrize("tag", ["div", "article", "main", "section"])
+def test_modifier_classes_are_no_verdict(names, tag):
+    assert article(f'class="{names}"', tag) == "\n\n".join(PROSE)
+    assert article("", "article", around=names) == article("", "main", around=names) == "\n\n".join(PROSE)
+
+
+@pytest.mark.parametrize("names", ["sidebar", "content-sidebar", "site-footer", "comments-area", "comment-body", "ad", "cookie-notice", "main-nav", "related-posts",
+                                   "share-buttons", "ad--large", "search", "search-box", "post-comments", "widget text", "newsletter_signup"])
+def test_boilerplate_classes_still_count(names):
+    assert article(f'class="{names}"') == article(f'id="{names.split()[0]}"') == ""
+    assert article("", "article", inside=f'<div class="{names}"><p>I liked this, thank you very much for it.</p></div>') == "\n\n".join(PROSE)
+
+
+def test_nested_article_or_main_begins_anew():
+    for names in ("sidebar", "content search", "widget-area"):
+        assert article("", "article", around=names) == article("", "main", around=names) == article("role=main", around=names) == "\n\n".join(PROSE)
+    assert html_extract.main_text(f"<aside><article><p>{PROSE[0]}</p></article></aside>")[0] == ""
+
+
 def test_main_text_of_the_pages_table(spark):
     for r in W["op2_html"](spark, SF_SMALL).join(table(spark, "pages").select("page_id", "html"), "page_id").collect():
         inside = re.search("<article>(.*?)</article>", r.html, re.S)[1]
