@@ -1,6 +1,7 @@
 """Operators against brute force on small fixtures."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import embedding_text, preview
@@ -66,6 +67,22 @@ def test_knn_exact_with_ties_and_small_corpus(spark):
     assert len(knn(cdf.limit(2), qdf, 5, dim=8).collect()) == 2 * len(queries)
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_knn_ties_of_more_than_k_equal_vectors(spark, kind):
+    ids = [100, 11, 9, 101, 8, 10, 1000, 12]
+    rows = [(i if kind != "string" else str(i), [1.0, 2.0]) for i in ids]
+    cdf = spark.createDataFrame(rows, f"id {kind}, embedding array<float>")
+    qdf = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.0, 0.0])], "query_id long, embedding array<float>")
+    expected = sorted(i for i, _ in rows)[:5]
+    for options in ({}, {"corpus_block": 3, "group_blocks": 1}):
+        got = knn(cdf, qdf, 5, dim=2, **options).collect()
+        for q in (1, 2):
+            assert [r["id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == expected
+    nulls = cdf.unionByName(cdf.limit(1).selectExpr(f"CAST(NULL AS {kind}) AS id", "embedding"))
+    got = knn(nulls, qdf, 5, dim=2).where("query_id = 1").orderBy("rank").collect()
+    assert [r["id"] for r in got] == [None, *expected[:4]]
+
+
 def test_knn_chunked_queries_equal_single_pass(spark):
     rng = np.random.default_rng(5)
     cdf = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "id long, embedding array<float>")
