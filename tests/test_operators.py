@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.functions.vectors import embedding_text, preview
 from quarry.operators.dedup import first_wins, latest_matching, url_list
 from quarry.operators.embed import _hashed_vectors, embed, native_hashed_embedder
-from quarry.operators.knn import knn
+from quarry.operators.knn import knn, knn_one, wrong_vectors
 from quarry.operators.limits import FETCH_LIMIT, nth_smallest, until_successes
 
 
@@ -83,6 +83,27 @@ def test_knn_ties_of_more_than_k_equal_vectors(spark, kind):
     assert [r["id"] for r in got] == [None, *expected[:4]]
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_knn_leaves_out_non_finite_vectors_only(spark, kind):
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(100, 4)).astype(np.float32).tolist()
+    rows = [*enumerate(vectors), (900, [1.0, float("nan"), 0.0, 0.0]), (901, [float("inf"), 0.0, 0.0, 0.0]), (902, [0.0, float("-inf"), 0.0, 0.0])]
+    cdf = spark.createDataFrame(rows, f"id long, embedding array<{kind}>")
+    qdf = spark.createDataFrame([(i, vectors[i]) for i in range(10)] + [(10, [float("nan")] * 4)], f"query_id long, embedding array<{kind}>")
+    right = sorted(tuple(r) for r in knn(cdf.where("id < 900"), qdf.where("query_id < 10"), 5, dim=4).collect())
+    assert len(right) == 50 and sorted(tuple(r) for r in knn(cdf, qdf, 5, dim=4).collect()) == right
+    assert sorted(r.id for r in wrong_vectors(cdf, 4).collect()) == [900, 901, 902]
+    assert [r.id for r in knn_one(cdf, vectors[0], 5).orderBy("rank").collect()] == [i for q, _, _, i in right if q == 0]
+
+
+def test_knn_of_vectors_whose_squares_overflow(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1.0, 2.0]), (3, [1e200, 1.0]), (4, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    got = sorted(tuple(r) for r in knn(df, df.withColumnRenamed("id", "query_id"), 2, dim=2).collect())
+    assert got == [(1, 1, 0.0, 1), (1, 2, 1.0, 3), (2, 1, 0.0, 2), (2, 2, 5.0, 4),
+                   (3, 1, 0.0, 3), (3, 2, 1.0, 1), (4, 1, 0.0, 4), (4, 2, 5.0, 2)]
+
+
 def test_knn_chunked_queries_equal_single_pass(spark):
     rng = np.random.default_rng(5)
     cdf = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "id long, embedding array<float>")
