@@ -148,8 +148,7 @@ class Search:
                 self.merge(tree, qi[lo], vi[lo:hi], scores[lo:hi])
 
     def merge(self, tree: Tree, q: int, members: np.ndarray, scores: np.ndarray) -> None:
-        # of equal vectors only the k + 1 least ids can be among the k best
-        lists = [tree.ids[tree.starts[m]:min(tree.starts[m + 1], tree.starts[m] + self.k + 1)] for m in members]
+        lists = [self.least(tree.ids[tree.starts[m]:tree.starts[m + 1]], self.ids[q]) for m in members]
         ids = np.concatenate([self.found[q][1], *lists])
         all_scores = np.concatenate([self.found[q][0], np.repeat(scores, [len(x) for x in lists])])
         other = ids != self.ids[q]
@@ -159,6 +158,17 @@ class Search:
         if len(best) == self.k:
             self.worst[q] = all_scores[best[-1]]
 
+    def least(self, ids: np.ndarray, own: int) -> np.ndarray:
+        """Of the ascending ids of equal vectors those that can be among the
+        k best: the k least without the query's own id, which may repeat."""
+        if len(ids) <= self.k:
+            return ids
+        lo = np.searchsorted(ids, own)
+        if lo >= self.k:
+            return ids[:self.k]
+        hi = np.searchsorted(ids, own, "right")
+        return np.concatenate([ids[:lo], ids[hi:hi + self.k - lo]])
+
     def rows(self, dim: int, block: int) -> pa.RecordBatch:
         """Results; ``place`` tells apart queries of one id."""
         n = [len(x) for x, _ in self.found]

@@ -386,6 +386,18 @@ def test_search_and_relaxed_recall(spark):
     assert index.count() >= 10
 
 
+@pytest.mark.parametrize("copies, others", [(3, [51, 52, 53, 54, 55]), (8, [51, 52, 53, 54, 55, 56]), (3, [48, 49, 51, 51, 52, 53]), (7, [])])
+def test_query_row_stored_several_times_among_copies(spark, copies, others):
+    same, far = [1.0, 2.0, 3.0], [[1.0, 0.0, float(i)] for i in range(4)]
+    rows = [(50, same)] * copies + [(i, same) for i in others] + [(100 + i, v) for i, v in enumerate(far)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    for shard_rows in (4096, 4):
+        out = vptree.search(vptree.build_index(df, shard_rows=shard_rows), df.filter("vec_id = 50"), k=5).orderBy("rank").collect()
+        expected = sorted((i for i, _ in rows if i != 50), key=lambda i: (-round(float(unit[i] @ unit[50]), 12), i))[:5]
+        assert [r.vec_id for r in out] == expected
+
+
 # ------------------------------------------------------------ classifier
 
 def test_held_out_accuracy(spark):
