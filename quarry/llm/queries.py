@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree
+from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree, word_bpe
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import scratch_path, store
 
@@ -100,3 +100,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write(table(spark, sf_dir, "documents").select("doc_id", "text"), path,
                       public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = word_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(word_bpe.packed(F.col("ids")), 256).alias("ids_sha256"),
+                      F.sha2(F.encode(word_bpe.decode(F.col("ids"), path), "UTF-8"), 256).alias("decoded_sha256"))
