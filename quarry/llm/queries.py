@@ -105,7 +105,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    ids = word_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(word_bpe.packed(F.col("ids")), 256).alias("ids_sha256"),
-                      F.sha2(F.encode(word_bpe.decode(F.col("ids"), path), "UTF-8"), 256).alias("decoded_sha256"))
+    both = word_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
