@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree, word_bpe
+from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree, whitening, word_bpe
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import scratch_path, store
 
@@ -108,3 +108,8 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = word_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
