@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, html_extract, minhash, mixing, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree, whitening, word_bpe
+from quarry.llm import bpe, html_extract, minhash, mixing, prefix_trie, quality_classifier, quality_rules, secrets, suffixes, token_files, vptree, whitening, word_bpe
 from quarry.llm.sql import SQL  # noqa: F401
 from quarry.session import scratch_path, store
 
@@ -113,3 +113,8 @@ def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))

