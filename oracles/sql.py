@@ -586,3 +586,21 @@ SQL["stream_flow"] = f"""WITH {cte_snap()},
 todo AS (SELECT url AS url_key, page_id AS ord FROM snap),
 {cte_records('todo', 'rec', 500)}
 SELECT url, status, error, title, chars FROM rec"""
+
+
+# ------------------------------------------------------------ failing models
+
+SQL["annotate_isolated"] = """SELECT doc_id, NOT bad AS valid, CASE WHEN NOT bad THEN 1 END AS attempt,
+  CASE WHEN bad THEN 'RuntimeError: refused' END AS error, CASE WHEN NOT bad THEN n || ' characters' END AS summary,
+  CASE WHEN NOT bad THEN 'a, b, c' END AS topics
+FROM (SELECT doc_id, length(coalesce(text, '')) AS n, length(coalesce(text, '')) % 50 = 7 AS bad FROM documents)"""
+SQL["embed_isolated"] = f"""SELECT doc_id, CASE WHEN error IS NULL THEN CAST(64 * (length(text) % 11) AS DOUBLE) END AS emb_sum, error AS embed_error
+FROM (SELECT *, CASE WHEN {sql_is_blank('text')} THEN {q(EMPTY_TEXT)} WHEN length(text) % 50 = 7 THEN 'RuntimeError: refused' END AS error
+  FROM documents)"""
+SQL["index_retry"] = f"""WITH e AS (
+  SELECT doc_id AS ord, coalesce(source, '') AS id, {strip('text')} AS t,
+    CASE WHEN {sql_is_blank('text')} THEN {q(EMPTY_TEXT)} WHEN length({strip('text')}) % 40 <> 0 THEN 'RuntimeError: refused' END AS error
+  FROM documents WHERE coalesce(text, '') <> '')
+SELECT ord, id, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error,
+  CASE WHEN error IS NULL THEN CAST(64 * (length(t) % 11) AS DOUBLE) END AS emb_sum
+FROM (SELECT *, min(ord) FILTER (error IS NULL) OVER (PARTITION BY id) AS stop FROM e) WHERE stop IS NULL OR ord <= stop"""

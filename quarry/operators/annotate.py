@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.analysis import MAX_TOPICS, MIN_TOPICS, validate_analysis
 from quarry.functions.text import strip
+from quarry.operators.model_calls import MAX_CHARS, MAX_TEXTS, Calls
 from quarry.schemas import RESPONSE
 
 # Fixed values of the default offline annotator (our stand-in for a remote
@@ -65,29 +66,32 @@ def offline_annotator(df: DataFrame) -> DataFrame:
     return df.select("key", F.lit(1).alias("attempt"), raw.alias("raw_text"), F.lit(None).cast("string").alias("call_error"))
 
 
-def batch_annotator(call: Callable[[list[str]], list[str]], attempts: int = MAX_ATTEMPTS) -> Annotator:
-    """Wrap a batch model call.  Each Arrow batch of prompts is sent in one
-    call; rows whose answer breaks the contract, or whose call raised or gave
-    another number of answers, are retried up to ``attempts`` times; every
-    attempt is kept as a response row."""
+def batch_annotator(call: Callable[[list[str]], list[str]], attempts: int = MAX_ATTEMPTS, *,
+                    max_texts: int = MAX_TEXTS, max_chars: int = MAX_CHARS) -> Annotator:
+    """Wrap a batch model call.  Prompts are sent in bounded calls; one that
+    raises or gives another number of answers is halved down to single prompts
+    (see ``model_calls``), so its failure is that of the prompts that cause it.
+    A prompt that fails alone, or whose answer breaks the contract, is tried up
+    to ``attempts`` times; every attempt is kept as a response row."""
 
     def run(batches):
+        calls = Calls(call, "answers", max_texts, max_chars)
         for pdf in batches:
             keys, prompts = pdf["key"].tolist(), pdf["prompt"].tolist()
-            pending = list(range(len(keys)))
+            pending, lone = list(range(len(keys))), set()
             for attempt in range(1, attempts + 1):
                 if not pending:
                     break
-                try:
-                    answers = list(call([prompts[i] for i in pending]))
-                    error = None if len(answers) == len(pending) else f"RuntimeError: {len(answers)} answers for {len(pending)} prompts"
-                except Exception as exc:  # noqa: BLE001 - recorded as data
-                    error = f"{type(exc).__name__}: {exc}"
-                if error is not None:
-                    answers = [None] * len(pending)
+                together = [i for i in pending if i not in lone]
+                answers = {together[n]: (a, e) for n, a, e in calls.each([prompts[i] for i in together])}
+                for i in lone & set(pending):
+                    got, error = calls.once([prompts[i]])
+                    answers[i] = (got[0] if error is None else None, error)
+                lone |= {i for i, (_, e) in answers.items() if e is not None}
                 yield pd.DataFrame({"key": [keys[i] for i in pending], "attempt": attempt,
-                                    "raw_text": pd.Series(answers, dtype=object), "call_error": [error] * len(pending)})
-                pending = [i for i, a in zip(pending, answers) if not meets_contract(a)]
+                                    "raw_text": pd.Series([answers[i][0] for i in pending], dtype=object),
+                                    "call_error": pd.Series([answers[i][1] for i in pending], dtype=object)})
+                pending = [i for i in pending if not meets_contract(answers[i][0])]
 
     def annotate(df: DataFrame) -> DataFrame:
         return df.select("key", "prompt").mapInPandas(run, RESPONSE)

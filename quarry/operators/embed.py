@@ -17,12 +17,16 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from quarry.functions.text import is_blank
+from quarry.operators.model_calls import MAX_CHARS, MAX_TEXTS, Calls
 from quarry.functions.vectors import EMBED_DIM, TOKEN_SPLIT_RE, hashed_embedding, vector_ok
 
+#: A Column function.  Its attribute ``answers``, if there is one, does the same
+#: to an iterator of lists of texts: lists of (vector, error).
 Embedder = Callable[[Column], Column]
 
-# Fixed value: the guard message for texts that cannot be embedded.
+# The messages for texts that cannot be embedded and for wrong vectors.
 EMPTY_TEXT = "ValueError: Cannot embed empty text"
+INVALID_VECTOR = "RuntimeError: Invalid embedding response"
 
 
 def native_hashed_embedder(dim: int = EMBED_DIM) -> Embedder:
@@ -75,6 +79,11 @@ def hashed_embedder(dim: int = EMBED_DIM) -> Embedder:
     def run(texts: pd.Series) -> pd.Series:
         return _hashed_vectors(texts, dim)
 
+    def answers(batches: Iterator[list[str | None]]) -> Iterator[list[tuple]]:
+        for texts in batches:
+            yield [(v, None) for v in _hashed_vectors(texts, dim)]
+
+    run.answers = answers
     return run
 
 
@@ -82,42 +91,28 @@ MAX_ATTEMPTS = 3
 VECTOR_OR_ERROR = "struct<embedding:array<float>,error:string>"
 
 
-def _answers(call: Callable[[list[str]], list], texts: list[str], attempts: int) -> list[tuple]:
-    """``(vector, error)`` per text.  A call that raises or answers with
-    another number of items is tried again; if it keeps failing, every text
-    is sent alone once, so one bad text does not fail its neighbours."""
-    def once(part):
-        try:
-            got = list(call(part))
-        except Exception as exc:  # noqa: BLE001 - recorded as data
-            return None, f"{type(exc).__name__}: {exc}"
-        return (got, None) if len(got) == len(part) else (None, f"RuntimeError: {len(got)} vectors for {len(part)} texts")
-
-    error = None
-    for _ in range(attempts):
-        got, error = once(texts)
-        if error is None:
-            return [(v, None) for v in got]
-    if len(texts) == 1:
-        return [(None, error)]
-    return [(got[0], None) if e is None else (None, e) for got, e in (once([t]) for t in texts)]
-
-
-def batch_embedder(call: Callable[[list[str]], list[list[float]]], attempts: int = MAX_ATTEMPTS) -> Embedder:
+def batch_embedder(call: Callable[[list[str]], list[list[float]]], attempts: int = MAX_ATTEMPTS, *,
+                   max_texts: int = MAX_TEXTS, max_chars: int = MAX_CHARS) -> Embedder:
     """Wrap a batch embedding call.  Only texts that are not null reach it
-    (``embed`` makes blank ones null); a failure is recorded in its row after
-    up to ``attempts`` tries and the job goes on."""
+    (``embed`` makes blank ones null), in bounded calls that are halved when
+    they fail (see ``model_calls``); a text that fails alone is tried up to
+    ``attempts`` times, then the failure is recorded in its row."""
 
-    @pandas_udf(VECTOR_OR_ERROR)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def answers(batches: Iterator[list[str | None]]) -> Iterator[list[tuple]]:
+        calls = Calls(call, "vectors", max_texts, max_chars)
         for texts in batches:
             asked = [i for i, t in enumerate(texts) if t is not None]
             out: list[tuple] = [(None, None)] * len(texts)
-            if asked:
-                for i, answer in zip(asked, _answers(call, [texts.iloc[i] for i in asked], attempts)):
-                    out[i] = answer
+            for i, answer in zip(asked, calls.settled([texts[i] for i in asked], attempts)):
+                out[i] = answer
+            yield out
+
+    @pandas_udf(VECTOR_OR_ERROR)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for out in answers(batch.tolist() for batch in batches):
             yield pd.DataFrame({"embedding": pd.Series([v for v, _ in out], dtype=object), "error": pd.Series([e for _, e in out], dtype=object)})
 
+    run.answers = answers
     return run
 
 
@@ -138,5 +133,5 @@ def embed(df: DataFrame, text_col: str = "text", embedder: Embedder | None = Non
     else:
         vector, failed = F.col("_out"), F.lit(None).cast("string")
     err = (F.when(F.col("_text").isNull(), F.lit(EMPTY_TEXT)).when(failed.isNotNull(), failed)
-            .when(~vector_ok(vector, dim), F.lit("RuntimeError: Invalid embedding response")))
+            .when(~vector_ok(vector, dim), F.lit(INVALID_VECTOR)))
     return out.withColumns({"embedding": F.when(F.col("_text").isNotNull(), vector), "embed_error": err}).drop("_text", "_out")

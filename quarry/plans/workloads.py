@@ -18,7 +18,7 @@ from quarry.sources import derived as D
 from quarry.sources.pages import fetch, page_snapshots
 from quarry.sources.tables import load
 from quarry.functions.analysis import build_prompt as _build_prompt, strict_json
-from quarry.operators.annotate import (first_valid_attempt as _first_valid,
+from quarry.operators.annotate import (batch_annotator, first_valid_attempt as _first_valid,
                                        offline_annotator, validate_responses)
 from quarry.plans.analyze import analyze as _analyze, annotate_records, candidates
 from quarry.plans.analyze import eligible_for_analysis as _eligible
@@ -244,6 +244,58 @@ def annotate_batch(spark, d):
                     _joined(F.col("topics")).alias("topics"))
 
 
+REFUSED_LENGTHS, REFUSED_LENGTH = 50, 7
+
+
+@register("annotate_isolated")
+def annotate_isolated(spark, d):
+    """Every document through a batch model that raises whenever a call holds
+    a text of certain lengths: only those documents fail, after three tries."""
+    def model(prompts):
+        if any(len(p) % REFUSED_LENGTHS == REFUSED_LENGTH for p in prompts):
+            raise RuntimeError("refused")
+        return [f'{{"summary": "{len(p)} characters", "topics": ["a", "b", "c"]}}' for p in prompts]
+
+    docs = load(spark, d, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("prompt"))
+    o = _first_valid(validate_responses(batch_annotator(model)(docs)))
+    return o.select(F.col("key").alias("doc_id"), "valid", "attempt", "error", "summary", _joined(F.col("topics")).alias("topics"))
+
+
+@register("embed_isolated")
+def embed_isolated(spark, d):
+    """Every document through a batch embedder that takes 40 texts at most and
+    raises for texts of certain lengths: only those documents fail."""
+    from quarry.operators.embed import batch_embedder, embed as _embed
+
+    def model(texts):
+        if len(texts) > 40 or any(len(t) % REFUSED_LENGTHS == REFUSED_LENGTH for t in texts):
+            raise RuntimeError("refused")
+        return [[float(len(t) % 11)] * EMBED_DIM for t in texts]
+
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return _embed(docs, "text", batch_embedder(model)).select("doc_id", _emb_sum(F.col("embedding")).alias("emb_sum"), "embed_error")
+
+
+@register("index_retry")
+def index_retry(spark, d):
+    """Index of records that share ids (one id for each source), with an
+    embedder that refuses texts of certain lengths: the records of an id are
+    tried in order up to the first success."""
+    from quarry.operators.embed import batch_embedder
+
+    def model(texts):
+        if any(len(t) % 40 for t in texts):
+            raise RuntimeError("refused")
+        return [[float(len(t) % 11)] * EMBED_DIM for t in texts]
+
+    rec = load(spark, d, "documents").select(
+        F.col("doc_id").alias("ord"), F.coalesce("source", F.lit("")).alias("url"), F.lit(None).cast("string").alias("title"),
+        F.lit("").alias("source"), F.coalesce("text", F.lit("")).alias("summary"), F.array().cast("array<string>").alias("topics"),
+        F.lit("ok").alias("status"))
+    rows = _index(rec, embedder=batch_embedder(model)).rows
+    return rows.select("ord", "id", "status", "error", _emb_sum(F.col("embedding")).alias("emb_sum"))
+
+
 @register("eligible_for_analysis")
 def eligible_for_analysis(spark, d):
     return _eligible(D.raw_docs(spark, d)).select("ord", "url")
