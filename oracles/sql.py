@@ -588,6 +588,28 @@ todo AS (SELECT url AS url_key, page_id AS ord FROM snap),
 SELECT url, status, error, title, chars FROM rec"""
 
 
+def _stored_sql(keys: str) -> str:
+    """The rows that an ingest of ``keys`` (url_key, ord) leaves in its tables."""
+    nothing = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ("summary", "topics"))
+    return f"""WITH {cte_urls()}, {cte_snap()},
+todo AS ({keys}),
+{cte_records('todo', 'rec', 300)},
+cand AS (SELECT * FROM rec WHERE status = 'ok' AND NOT {sql_is_blank('text')}),
+{cte_offline_annotation('cand', 'url', 'ann')},
+ai AS (SELECT c.ord, c.url, c.source, c.title, c.status, c.error, c.chars, a.summary, a.topics
+       FROM cand c JOIN ann a ON a.k = c.url WHERE a.verr IS NULL),
+usable AS (SELECT * FROM ai WHERE NOT {sql_is_blank('summary')}),
+vd AS ({sql_vdocs('usable')}),
+emb AS ({sql_embed('vd', 'text')})
+SELECT 'raw' AS stored, url, status, error, title, chars, {nothing}, CAST(NULL AS DOUBLE) AS emb_sum FROM rec
+UNION ALL SELECT 'enriched', url, status, error, title, chars, summary, array_to_string(topics, ', '), NULL FROM ai
+UNION ALL SELECT 'vectors', id, NULL, NULL, m_title, NULL, m_summary, m_topics, {sql_emb_sum('vec')} FROM emb WHERE vec IS NOT NULL"""
+
+
+SQL["ingest_stored"] = _stored_sql("SELECT url_key, min(ord) AS ord FROM keyed GROUP BY url_key")
+SQL["stream_pipeline"] = _stored_sql("SELECT url AS url_key, page_id AS ord FROM snap")
+
+
 # ------------------------------------------------------------ failing models
 
 SQL["annotate_isolated"] = """SELECT doc_id, NOT bad AS valid, CASE WHEN NOT bad THEN 1 END AS attempt,

@@ -9,12 +9,14 @@ stage.  All stages are joins keyed by URL key, so every URL is handled by the
 same few shuffles whatever the size of the set; earlier records are reduced to
 the keys at work before anything wide moves.
 
-``ingest`` computes; ``ingest_into`` also appends what it made to the tables
-of a folder, so a rerun adds nothing and an interrupted run is taken up again.
+``ingest`` computes; ``ingest_into`` also adds what it made to the tables of a
+folder, all of them in one commit, so a rerun adds nothing and an interrupted
+run leaves nothing behind.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +27,15 @@ from quarry.functions.text import not_blank
 from quarry.functions.urls import url_key
 from quarry.operators.dedup import latest_matching, seen_keys
 from quarry.operators.embed import Embedder, embed
-from quarry.operators.incremental import flag_existing
+from quarry.operators.incremental import flag_existing, only_new
 from quarry.operators.annotate import Annotator
 from quarry.operators.scrape import scrape_records
 from quarry.plans.analyze import annotate_records
 from quarry.plans.index import vector_documents
 from quarry.schemas import ENRICHED, ENRICHED_FIELDS, RAW, RAW_FIELDS, VECTOR_ROW
 from quarry.session import materialize
+from quarry.sources import commits
 from quarry.sources.pages import fetch
-from quarry.sources.vectors import append_vectors, exists, read_vectors
 
 # Offset that places this run's records after every earlier record.
 RUN_ORD_OFFSET = 1 << 40
@@ -113,25 +115,33 @@ def ingest(keys: DataFrame, snapshots: DataFrame, prior_raw: DataFrame, prior_ai
     return IngestResult(worked.unionByName(skipped), new_raw, ai.select("ord", *ENRICHED_FIELDS), vectors)
 
 
+TABLES = {"raw": RAW, "enriched": ENRICHED, "vectors": VECTOR_ROW}
+STATUS = "url_key string, status string, stage string, skipped boolean, reason string, index_added int"
+
+
 def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
-    """A table that ``ingest_into`` keeps, empty if nothing was written yet."""
-    full = T.StructType(WITH_ORD + list(schema.fields))
-    return spark.read.schema(full).parquet(f"{base}/{name}") if exists(spark, f"{base}/{name}") else spark.createDataFrame([], full)
+    """The committed rows of a table that ``ingest_into`` keeps."""
+    full = schema if name == "vectors" else T.StructType(WITH_ORD + list(schema.fields))
+    return commits.read(spark, base, name, full)
 
 
 def ingest_into(spark: SparkSession, keys: DataFrame, snapshots: DataFrame, base: str, *, min_chars: int = 300, run_ts: str,
-                annotator: Annotator | None = None, embedder: Embedder | None = None) -> DataFrame:
+                commit: str | None = None, annotator: Annotator | None = None, embedder: Embedder | None = None) -> DataFrame:
     """Ingest ``keys`` against the tables under ``base`` (raw, enriched,
-    vectors) and append what is new, stage by stage: a run that is cut off
-    leaves whole stages, and the next run goes on from them.  Failed records
-    are kept in raw; a failed analysis is not, so it is tried again."""
+    vectors) and add what is new to all three in one commit: readers see all
+    of a run or nothing, and a run that is cut off is done again.  A ``commit``
+    name that is recorded already is not done again; its status rows are given
+    back.  Failed records are kept in raw; a failed analysis is not, so it is
+    tried again, and an analysis whose embedding failed is taken up again."""
+    name = commit or f"run-{uuid.uuid4().hex}"
+    if commits.is_done(spark, base, name):
+        return spark.read.schema(STATUS).parquet(f"{base}/status/{name}")
     prior_raw, prior_ai = read_table(spark, base, "raw", RAW), read_table(spark, base, "enriched", ENRICHED)
     last = prior_raw.agg(F.coalesce(F.max("ord"), F.lit(-1)).alias("last")).first()["last"]
-    stored = read_vectors(spark, f"{base}/vectors").select(F.col("id").alias("url"))
-    out = ingest(keys, snapshots, prior_raw, prior_ai, stored, min_chars=min_chars, run_ts=run_ts, ord_offset=last + 1,
-                 annotator=annotator, embedder=embedder)
-    status = materialize(out.status)   # before the tables it reads change
-    out.raw.select("ord", *RAW_FIELDS).write.mode("append").parquet(f"{base}/raw")
-    out.enriched.where(F.col("status") == "ok").write.mode("append").parquet(f"{base}/enriched")
-    append_vectors(out.vectors, f"{base}/vectors")
-    return status
+    stored = read_table(spark, base, "vectors", VECTOR_ROW).select("id")
+    out = ingest(keys, snapshots, prior_raw, prior_ai, stored.select(F.col("id").alias("url")), min_chars=min_chars, run_ts=run_ts,
+                 ord_offset=last + 1, annotator=annotator, embedder=embedder)
+    commits.commit(spark, base, name, {
+        "status": out.status, "raw": out.raw.select("ord", *RAW_FIELDS), "enriched": out.enriched.where(F.col("status") == "ok"),
+        "vectors": only_new(out.vectors, stored, "id").dropDuplicates(["id"])})
+    return spark.read.schema(STATUS).parquet(f"{base}/status/{name}")

@@ -256,9 +256,9 @@ def annotate_isolated(spark, d):
             raise RuntimeError("refused")
         return [f'{{"summary": "{len(p)} characters", "topics": ["a", "b", "c"]}}' for p in prompts]
 
-    docs = load(spark, d, "documents").select(F.col("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("prompt"))
+    docs = load(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), F.coalesce("text", F.lit("")).alias("prompt"))
     o = _first_valid(validate_responses(batch_annotator(model)(docs)))
-    return o.select(F.col("key").alias("doc_id"), "valid", "attempt", "error", "summary", _joined(F.col("topics")).alias("topics"))
+    return o.select(F.col("key").cast("long").alias("doc_id"), "valid", "attempt", "error", "summary", _joined(F.col("topics")).alias("topics"))
 
 
 @register("embed_isolated")
@@ -521,6 +521,45 @@ def ingest_run(spark, d):
                    D.ingest_vector_prior(spark, d), min_chars=300, run_ts=RUN_TS).status
 
 
+def _stored(spark, base):
+    """The committed rows of the three tables of an ingest, as one."""
+    from quarry.plans.ingest import TABLES, read_table
+    raw, enriched, vectors = (read_table(spark, base, name, schema) for name, schema in TABLES.items())
+    none = F.lit(None).cast("string")
+    parts = [
+        raw.select(F.lit("raw").alias("stored"), "url", "status", "error", "title", "chars", none.alias("summary"), none.alias("topics"),
+                   F.lit(None).cast("double").alias("emb_sum")),
+        enriched.select(F.lit("enriched").alias("stored"), "url", "status", "error", "title", "chars", "summary",
+                        _joined(F.col("topics")).alias("topics"), F.lit(None).cast("double").alias("emb_sum")),
+        vectors.select(F.lit("vectors").alias("stored"), F.col("id").alias("url"), none.alias("status"), none.alias("error"),
+                       F.col("metadata.title").alias("title"), F.lit(None).cast("int").alias("chars"), F.col("metadata.summary").alias("summary"),
+                       F.col("metadata.topics").alias("topics"), _emb_sum(F.col("embedding")).alias("emb_sum"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("ingest_stored")
+def ingest_stored(spark, d):
+    """Every listed URL ingested twice into the tables of a folder; the stored
+    rows, to which the second run adds nothing."""
+    from quarry.plans.ingest import ingest_into
+    base = scratch_path(spark, "ingest")
+    keys = _keyed(spark, d).groupBy("url_key").agg(F.min("ord").alias("ord"))
+    for _ in range(2):
+        ingest_into(spark, keys, D.snapshot_rows(spark, d), base, min_chars=300, run_ts=RUN_TS)
+    return _stored(spark, base)
+
+
+@register("stream_pipeline")
+def stream_pipeline(spark, d):
+    """All pages as a stream through scrape, analysis and index; the stored
+    rows.  A second stream over the same pages adds nothing."""
+    base = scratch_path(spark, "stream")
+    for run in ("first", "again"):
+        _stream.ingest_stream(spark, d, "pages.parquet", base, scratch_path(spark, f"stream-{run}"),
+                              to_snapshot_rows=lambda b: b.selectExpr(*D.SNAPSHOT_EXPRS), min_chars=300, run_ts=RUN_TS)
+    return _stored(spark, base)
+
+
 # ------------------------------------------------------------ sources, sinks, streaming
 
 

@@ -8,14 +8,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+#: Larger tables are never redistributed.
+SPREAD_BYTES = 128 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work at least one partition per core.
+    """Give CPU-heavy per-row work on a small table one partition per core.
 
-    A Parquet file with a single row group is read by a single task; when a
-    scan yields fewer partitions than the session's parallelism it is
-    redistributed round-robin.  On a cluster, scans already have many more
-    splits than cores, so this adds nothing there."""
+    A Parquet file with a single row group is read by a single task; a table of
+    up to ``SPREAD_BYTES`` whose scan yields fewer partitions than the
+    session's parallelism is redistributed round-robin.  Larger tables stay as
+    they are scanned, so no table that is costly to move is moved."""
     try:
+        if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+            return df
         target = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)

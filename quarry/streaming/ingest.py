@@ -9,6 +9,7 @@ so reruns and recovery after executor loss never duplicate a key.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,12 +78,16 @@ def dedup_stream(spark: SparkSession, source_dir: str, glob: str, target: str, c
     grows for ever, so it is kept in RocksDB on the executors' disks (and in
     the checkpoint), not in their memory; use dropDuplicatesWithinWatermark
     when a horizon is acceptable."""
+    before = spark.conf.get(STATE_STORE, None)
     spark.conf.set(STATE_STORE, ROCKSDB)
     s = page_stream(spark, source_dir, glob).select(url_key(F.col("url")).alias("url_key"), "page_id")
     q = (s.dropDuplicates(["url_key"]).writeStream.format("parquet")
          .option("path", target).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    try:
+        q.awaitTermination()
+    finally:  # the session's own setting
+        spark.conf.set(STATE_STORE, before) if before else spark.conf.unset(STATE_STORE)
 
 
 def scrape_stream(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str, *,
@@ -106,15 +111,20 @@ def ingest_stream(spark: SparkSession, source_dir: str, glob: str, base: str, ch
                   to_snapshot_rows: Callable[[DataFrame], DataFrame], min_chars: int, run_ts: str,
                   files_per_trigger: int | None = None, **models) -> None:
     """T3 in full: each micro-batch of fetched pages is scraped, analysed and
-    indexed into the tables under ``base``.  A replayed batch adds nothing,
-    and a key whose last stage is missing is taken up again when it comes."""
+    indexed into the tables under ``base``, as one commit named by stream and
+    batch number (see ``sources.commits``): a batch that is replayed, or cut
+    between two tables, is stored once.  A key whose last stage is missing is
+    taken up again when it comes again."""
     from quarry.plans.ingest import ingest_into
     from quarry.session import materialize
 
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = materialize(to_snapshot_rows(batch))
         keys = rows.groupBy(url_key(F.col("page_url")).alias("url_key")).agg(F.min("page_id").alias("ord"))
-        ingest_into(batch.sparkSession, keys, rows, base, min_chars=min_chars, run_ts=run_ts, **models)
+        ingest_into(batch.sparkSession, keys, rows, base, min_chars=min_chars, run_ts=run_ts,
+                    commit=f"stream-{stream}-{epoch_id:012d}", **models)
 
     run_available(page_stream(spark, source_dir, glob, files_per_trigger=files_per_trigger), run, checkpoint)
 
