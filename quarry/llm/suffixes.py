@@ -28,6 +28,7 @@ repeated rows are rows like any other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.minhash import _power, mix
+from quarry.llm.minhash import mix
 from quarry.session import store
 
 LENGTH = 400
@@ -57,6 +58,21 @@ def sliding(x: np.ndarray, w: int, pick: np.ufunc, pad: int) -> np.ndarray:
     return pick(tail[:n - w + 1], head[w - 1:n])
 
 
+_powers: dict[str, np.ndarray] = {}
+
+
+def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64 and of its inverse."""
+    if len(_powers.get("p", ())) <= n:
+        m = max(1 << 16, 1 << (n + 1).bit_length())
+        base = 0x9E3779B97F4A7C15
+        for name, factor in (("p", base), ("q", pow(base, -1, 1 << 64))):
+            ones = np.full(m, factor, dtype=np.uint64)
+            ones[0] = 1
+            _powers[name] = np.cumprod(ones)
+    return _powers["p"], _powers["q"]
+
+
 class Bytes:
     """Bytes of a text with the sums that hash any part of it."""
 
@@ -81,7 +97,10 @@ def anchors(b: Bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, n
     edge = np.zeros(w - 1, dtype=np.uint64)
     at = np.flatnonzero(sliding(np.concatenate((edge, least, edge)), w, np.maximum, 0) == h)
     lo, hi = np.maximum(at + gram - length, 0), np.minimum(at + length, n)
-    context = mix(b.hashes(lo, hi) + (at - lo).astype(np.uint64))
+    # contexts that count as equal are told by a digest of their bytes; the sums only choose anchors
+    data = b.data.tobytes()
+    digests = b"".join([hashlib.blake2b(data[x:y], digest_size=8).digest() for x, y in zip(lo.tolist(), hi.tolist())])
+    context = mix(np.frombuffer(digests, "<u8") + (at - lo).astype(np.uint64))
     return at, h[at], context
 
 
