@@ -1,9 +1,10 @@
 """Keyed de-duplication and keyed lookups.
 
-All of these are aggregations, not windows: Spark runs them as a partial
-(map-side) aggregate followed by a final aggregate, so a hot key holding a
-third of the rows is reduced to one row per input partition before any
-shuffle, and no task ever receives the whole group.
+Two phases.  The winning ordinal of each key is an aggregate on (key, ordinal)
+alone, combined map-side, so a hot key holding a third of the rows is one row
+per input partition before any shuffle.  Rows are then read for the winners
+only, by a semi-join on key *and* ordinal: its hash spreads the rows of a hot
+key over all tasks, and no task ever receives the whole group.
 """
 
 from __future__ import annotations
@@ -14,33 +15,37 @@ from pyspark.sql import functions as F
 from quarry.functions.urls import url_key
 from quarry.functions.text import strip
 
+_AT = "_winner_at"
 
-def _struct_of(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns if c not in exclude])
+
+def _rows_at(df: DataFrame, keys: list[str], ord_col: str, winners: DataFrame) -> DataFrame:
+    """One row of ``df`` for each (keys, ordinal) of ``winners``.  Key and
+    ordinal are one struct, whose equality holds for nulls too; rows that share
+    both are reduced on the partitioning of the join."""
+    at = F.struct(*keys, ord_col).alias(_AT)
+    return df.select("*", at).join(winners.select(at), _AT, "left_semi").dropDuplicates([_AT]).drop(_AT)
 
 
 def first_wins(df: DataFrame, key: str | list[str], ord_col: str = "ord") -> DataFrame:
     """One row per key: the row with the smallest ``ord`` (first in input
     order).  Deterministic regardless of partitioning, unlike
-    ``dropDuplicates``.  Rows keep all their columns."""
+    ``dropDuplicates``.  Rows keep all their columns; of rows that share key and
+    ordinal, one stays.  ``df`` is evaluated twice, the first time for keys and
+    ordinals only."""
     keys = [key] if isinstance(key, str) else list(key)
+    winners = df.groupBy(*keys).agg(F.min(ord_col).alias(ord_col))
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys)
-              .agg(F.min_by(packed, F.col(ord_col)).alias("_w"))
-              .select(*keys, *[F.col("_w")[c].alias(c) for c in rest]))
+    if rest == [ord_col]:
+        return winners
+    return _rows_at(df, keys, ord_col, winners).select(*keys, *rest)
 
 
 def latest_matching(df: DataFrame, key: str, predicate: Column, ord_col: str = "ord") -> DataFrame:
     """For every key, the last row (largest ``ord``) that meets ``predicate``.
-    Keys with no such row are absent."""
-    rest = [c for c in df.columns if c != key]
-    packed = F.struct(*[F.col(c) for c in rest])
-    ordering = F.when(F.coalesce(predicate, F.lit(False)), F.col(ord_col))
-    return (df.groupBy(key)
-              .agg(F.max_by(packed, ordering).alias("_w"), F.max(ordering).alias("_o"))
-              .where(F.col("_o").isNotNull())
-              .select(key, *[F.col("_w")[c].alias(c) for c in rest]))
+    Keys with no such row are absent, and rows without an ordinal never win."""
+    matching = df.where(F.coalesce(predicate, F.lit(False)) & F.col(ord_col).isNotNull())
+    winners = matching.groupBy(key).agg(F.max(ord_col).alias(ord_col))
+    return _rows_at(matching, [key], ord_col, winners).select(key, *[c for c in df.columns if c != key])
 
 
 def seen_keys(records: DataFrame, url_col: str = "url", key_col: str = "url_key") -> DataFrame:

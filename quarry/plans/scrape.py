@@ -7,7 +7,7 @@ first occurrence per key -> anti join with keys already scraped -> fetch
 Shuffles, all on narrow rows but the last: list de-duplication, the first
 occurrence per key, the anti join (broadcast when the earlier output's keys
 are small, sort-merge otherwise), the winner of each key's snapshots, and the
-join that reads the pages of winners.
+join that reads the pages of winners, the one exchange that HTML may cross.
 """
 
 from __future__ import annotations
@@ -75,14 +75,14 @@ def scrape_each(urls: DataFrame, snapshots: DataFrame, prior_raw: DataFrame | No
         keyed = flag_existing(keyed, seen_keys(prior_raw), "url_key", "in_prior")
     else:
         keyed = keyed.withColumn("in_prior", F.lit(False))
-    # a URL that is listed many times is fetched and extracted once
-    once = fetch(keyed.select("url_key", "in_prior").distinct(), snapshots)
-    rec = scrape_records(once, min_chars, run_ts, keep=("in_prior",))
-    result = rec.select(
-        F.col("url").alias("url_key"), "url", F.lit(1).alias("total"),
-        F.when(~F.col("in_prior") & (F.col("status") == "ok"), 1).otherwise(0).alias("ok"),
-        F.when(~F.col("in_prior") & (F.col("status") != "ok"), 1).otherwise(0).alias("failed"),
-        F.when(F.col("in_prior"), 1).otherwise(0).alias("skipped_existing"),
-        F.when(~F.col("in_prior"), F.col("status")).alias("status"),
-    )
-    return keyed.select("ord", "url_key").join(result, "url_key").select("ord", *[c for c in result.columns if c != "url_key"])
+    # a URL that is listed many times is fetched and extracted once, one that is stored not at all
+    once = fetch(keyed.where(~F.col("in_prior")).select("url_key").distinct(), snapshots)
+    rec = scrape_records(once, min_chars, run_ts, keep=())
+    done = rec.select(F.col("url").alias("url_key"), "status")
+    ok = F.col("status") == "ok"
+    result = keyed.join(done, "url_key", "left")
+    return result.select(
+        "ord", F.col("url_key").alias("url"), F.lit(1).alias("total"),
+        F.when(~F.col("in_prior") & ok, 1).otherwise(0).alias("ok"),
+        F.when(~F.col("in_prior") & ~ok, 1).otherwise(0).alias("failed"),
+        F.when(F.col("in_prior"), 1).otherwise(0).alias("skipped_existing"), "status")

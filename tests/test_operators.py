@@ -18,6 +18,26 @@ def test_url_list_first_wins_and_skips(spark):
     assert got == [(0, "a"), (4, "b")]
 
 
+def test_winners_of_null_keys_ties_and_missing_ordinals(spark):
+    df = spark.createDataFrame([(None, 2, "a"), (None, 1, "b"), ("k", 1, "c"), ("k", 1, "c"), ("n", None, "d")], "key string, ord int, v string")
+    assert sorted(map(tuple, first_wins(df, "key", "ord").collect()), key=str) == [("k", 1, "c"), ("n", None, "d"), (None, 1, "b")]
+    assert sorted(map(tuple, latest_matching(df, "key", F.lit(True), "ord").collect()), key=str) == [("k", 1, "c"), (None, 2, "a")]
+    assert first_wins(df.limit(0), "key", "ord").count() == latest_matching(df.limit(0), "key", F.lit(True), "ord").count() == 0
+
+
+def test_fetch_of_repeated_and_unnumbered_snapshots(spark):
+    """One snapshot a key: the least ordinal, repeated rows once, none without an ordinal."""
+    from quarry.sources.pages import SNAPSHOT_COLS, fetch
+    page = lambda n, u, h: (n, u, u, 200, "text/html", h, None)
+    rows = spark.createDataFrame([page(2, "http://a/x", "late"), page(1, "http://a/x", "first"), page(1, "http://a/x", "first"),
+                                  page(None, "http://a/y", "none")],
+                                 "page_id long, page_url string, final_url string, http_status int, content_type string, html string, fetch_error string")
+    todo = spark.createDataFrame([("http://a/x", 7), ("http://a/y", 8), ("http://a/z", 9)], "url_key string, ord int")
+    out = fetch(todo, rows)
+    assert out.columns == ["url_key", "ord", *SNAPSHOT_COLS, "snap_found"]
+    assert sorted((r.ord, r.html, r.snap_found) for r in out.collect()) == [(7, "first", True), (8, None, False), (9, None, False)]
+
+
 def test_first_wins_and_latest(spark):
     df = spark.createDataFrame([("k", 3, "c"), ("k", 1, "a"), ("j", 2, "b"), ("k", 5, "x")],
                                "key string, ord int, v string")

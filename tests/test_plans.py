@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.html import extract_text
 from quarry.functions.urls import url_key
-from quarry.operators.dedup import first_wins
+from quarry.operators.dedup import first_wins, latest_matching
 from quarry.sources.tables import load
 
 from conftest import SF_SMALL
@@ -58,6 +58,49 @@ def test_pages_are_read_for_winners_only(spark):
     assert out.where("snap_found").count() == todo.count()
 
 
+def _nodes(node):
+    yield node
+    for i in range(node.children().size()):
+        yield from _nodes(node.children().apply(i))
+
+
+def _exchanged(spark, df, column):
+    """Exchanges, with adaptive execution off and no broadcast, whose rows hold ``column``."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = df.select("*")._jdf.queryExecution().executedPlan()
+        return sum(n.nodeName() == "Exchange" and f" {column}#" in f" {n.output().mkString(' ')}" for n in _nodes(root))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_html_crosses_one_exchange(spark, tmp_path):
+    from quarry.sources.pages import fetch, page_snapshots
+    path = str(tmp_path / "pages")
+    spark.read.parquet(f"{SF_SMALL}/pages.parquet").selectExpr(
+        "page_id", "url AS page_url", "url AS final_url", "200 AS http_status", "'text/html' AS content_type", "html",
+        "CAST(NULL AS string) AS fetch_error").write.parquet(path)
+    rows = spark.read.parquet(path)
+    todo = rows.select(url_key(F.col("page_url")).alias("url_key")).distinct()
+    assert _exchanged(spark, fetch(todo, rows), "html") == 1
+    assert _exchanged(spark, page_snapshots(rows), "html") == 1
+
+
+def test_winners_are_chosen_on_narrow_rows(spark, tmp_path):
+    """No aggregate over a packed row; the wide columns move once, spread by key and ordinal."""
+    path = str(tmp_path / "versions")
+    spark.range(300).selectExpr("CAST(id % 3 AS string) k", "id ord", "repeat('x', 100) wide", "id % 2 = 0 good").write.parquet(path)
+    df = spark.read.parquet(path)
+    for out in (first_wins(df, "k"), latest_matching(df, "k", F.col("good"))):
+        p = plan(out)
+        assert "min_by" not in p and "max_by" not in p
+        assert _exchanged(spark, out, "wide") == 1
+        assert out.count() == 3
+
+
 def test_one_model_node_in_search_and_index(spark):
     from quarry.plans.index import _embed_rows
     from quarry.operators.embed import batch_embedder
