@@ -14,7 +14,7 @@ from quarry.operators.incremental import flag_existing, only_new
 from quarry.operators.knn import knn, knn_one
 from quarry.operators.scrape import scrape_records
 from quarry.plans.scrape import keyed_urls, scrape, scrape_each
-from quarry.sources import derived as D
+from quarry.sources import derived as D, keyed
 from quarry.sources.pages import fetch, page_snapshots
 from quarry.sources.tables import load
 from quarry.functions.analysis import build_prompt as _build_prompt, strict_json
@@ -619,7 +619,7 @@ def stream_ingest(spark, d):
     _stream.ingest_pages(spark, d, "pages.parquet", target, ckpt)
     # a second run from a fresh checkpoint replays every file: adds nothing
     _stream.ingest_pages(spark, d, "pages.parquet", target, scratch_path(spark, "t1ckpt2"))
-    return spark.read.parquet(target).select("url_key", F.col("ord").alias("page_id"))
+    return keyed.read(spark, target).select("url_key", F.col("ord").alias("page_id"))
 
 
 @register("stream_dedup")
@@ -635,4 +635,4 @@ def stream_flow(spark, d):
     _stream.scrape_stream(spark, d, "pages.parquet", target, ckpt,
                           to_snapshot_rows=lambda b: b.selectExpr(*D.SNAPSHOT_EXPRS),
                           min_chars=500, run_ts=RUN_TS)
-    return spark.read.parquet(target).select("url", "status", "error", "title", "chars")
+    return keyed.read(spark, target).select("url", "status", "error", "title", "chars")

@@ -2,9 +2,10 @@
 
 Arriving page files are read with the file source; every micro-batch is
 handled by ``foreachBatch`` with the batch operators: first-wins inside the
-batch, anti join with the keys already in the target table, append.  The
-sink is at-least-once, and the anti join makes a replayed batch add nothing,
-so reruns and recovery after executor loss never duplicate a key.
+batch, anti join with the keys in the buckets of the target table that the
+batch touches, append (see ``sources.keyed``).  The sink is at-least-once; a
+replayed batch has its commit already, and one of another stream finds its keys
+stored, so reruns and recovery after executor loss never duplicate a key.
 """
 
 from __future__ import annotations
@@ -18,8 +19,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.urls import url_key
 from quarry.operators.dedup import first_wins
-from quarry.operators.incremental import only_new
-from quarry.sources.vectors import exists
+from quarry.sources import keyed
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,22 +39,18 @@ def page_stream(spark: SparkSession, source_dir: str, glob: str = "*.parquet",
     return reader.parquet(source_dir)
 
 
-def _target_keys(spark: SparkSession, target: str, key: str) -> DataFrame | None:
-    return spark.read.parquet(target).select(key) if exists(spark, target) else None
+def _batch_name(checkpoint: str, epoch_id: int) -> str:
+    """The commit of a micro-batch, named by stream and batch number."""
+    return f"stream-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{epoch_id:012d}"
 
 
-def keyed_append_batch(target: str, key: str, prepare: Callable[[DataFrame], DataFrame],
+def keyed_append_batch(target: str, key: str, prepare: Callable[[DataFrame], DataFrame], checkpoint: str,
                        ord_col: str = "ord"):
     """foreachBatch body: prepare -> first-wins per key -> anti join with
     the target's keys -> append."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = first_wins(prepare(batch), key, ord_col)
-        existing = _target_keys(spark, target, key)
-        if existing is not None:
-            rows = only_new(rows, existing, key)
-        rows.write.mode("append").parquet(target)
+        keyed.append(first_wins(prepare(batch), key, ord_col), key, target, name=_batch_name(checkpoint, epoch_id))
 
     return run
 
@@ -70,7 +66,7 @@ def run_available(stream: DataFrame, batch_fn, checkpoint: str) -> None:
 def ingest_pages(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str) -> None:
     """T1: page files -> (url_key, page_id) table without duplicate keys."""
     prepare = lambda b: b.select(url_key(F.col("url")).alias("url_key"), F.col("page_id").alias("ord"))
-    run_available(page_stream(spark, source_dir, glob), keyed_append_batch(target, "url_key", prepare), checkpoint)
+    run_available(page_stream(spark, source_dir, glob), keyed_append_batch(target, "url_key", prepare, checkpoint), checkpoint)
 
 
 def dedup_stream(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str) -> None:
@@ -93,16 +89,17 @@ def dedup_stream(spark: SparkSession, source_dir: str, glob: str, target: str, c
 def scrape_stream(spark: SparkSession, source_dir: str, glob: str, target: str, checkpoint: str, *,
                   to_snapshot_rows: Callable[[DataFrame], DataFrame], min_chars: int, run_ts: str) -> None:
     """T3: each micro-batch of fetched pages becomes scrape records, appended
-    to the raw table unless the URL key is already there."""
+    to the raw table, kept by URL, unless the URL key is already there."""
     from quarry.operators.scrape import scrape_records
     from quarry.sources.pages import fetch
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = to_snapshot_rows(batch)
+        rows, name = to_snapshot_rows(batch), _batch_name(checkpoint, epoch_id)
+        if keyed.is_done(spark, target, name):
+            return
         todo = rows.groupBy(url_key(F.col("page_url")).alias("url_key")).agg(F.min("page_id").alias("ord"))
-        if exists(spark, target):
-            todo = only_new(todo, spark.read.parquet(target).select(F.col("url").alias("url_key")), "url_key")
-        scrape_records(fetch(todo, rows), min_chars, run_ts).write.mode("append").parquet(target)
+        new = scrape_records(fetch(keyed.absent(todo, "url_key", target), rows), min_chars, run_ts)
+        keyed.append(new, "url", target, name=name, known_new=True)
 
     run_available(page_stream(spark, source_dir, glob), run, checkpoint)
 
@@ -118,18 +115,10 @@ def ingest_stream(spark: SparkSession, source_dir: str, glob: str, base: str, ch
     from quarry.plans.ingest import ingest_into
     from quarry.session import materialize
 
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
-
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = materialize(to_snapshot_rows(batch))
         keys = rows.groupBy(url_key(F.col("page_url")).alias("url_key")).agg(F.min("page_id").alias("ord"))
         ingest_into(batch.sparkSession, keys, rows, base, min_chars=min_chars, run_ts=run_ts,
-                    commit=f"stream-{stream}-{epoch_id:012d}", **models)
+                    commit=_batch_name(checkpoint, epoch_id), **models)
 
     run_available(page_stream(spark, source_dir, glob, files_per_trigger=files_per_trigger), run, checkpoint)
-
-
-def compact(spark: SparkSession, path: str, target: str, files: int) -> None:
-    """Rewrite a table of many small files as ``files`` files at ``target``
-    (a new folder; the caller swaps the tables when no run is writing)."""
-    spark.read.parquet(path).coalesce(files).write.parquet(target)
