@@ -39,7 +39,7 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
     "tfoot th thead tr ul".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-SKIPPED = frozenset("head noscript template svg math canvas object audio video select datalist button map".split())
+SKIPPED = frozenset("head noscript template svg annotation annotation-xml canvas object audio video select datalist button map".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What the start of an element closes, up to the nearest of its containers.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -61,10 +61,16 @@ _HARD = re.compile(
     r"(?:nav(?:s|bar|igation|list|links?|menu)?|menu\w*|breadcrumbs?|sidebar|aside|footer|masthead|cookies?|consent|gdpr|"
     r"banners?|ads?|adverts?\w*|sponsor\w*|promo\w*|comments?|disqus|sharing|related|recommend\w*|"
     r"login|signin|signup|subscri\w*|newsletter|popup|modal|overlay|widget|toolbar|pagination|pager|copyright|disclaimer)")
-_SOFT = re.compile(r"(?:side|foot|header|notices?|alerts?|replies|reply|share|social|more|dialog|tags|search|form|legal|skip)")
+_SOFT = re.compile(r"(?:side|foot|header|notices?|alerts?|replies|reply|responses?|share|social|more|dialog|tags|search|form|legal|skip)")
 _GENERIC = re.compile(
     r"(?:\d+|left|right|top|bottom|area|wrap|wrapper|container|box|list|section|inner|outer|block|items?|group|bar|links?|buttons?|icons?|"
     r"primary|secondary|site|media|stories|posts|results|to)")
+#: Words that name a part of a thing, or its look, beside a word that says boilerplate.
+_PIECES = re.compile(
+    r"(?:body|content|contents|text|title|heading|headline|slot|unit|card|row|col|column|grid|panel|pane|tabs?|image|img|picture|label|message|"
+    r"info|meta|author|date|time|count|number|id|articles?|news|main|page|desktop|mobile|sticky|fixed|floating|large|small|wide|new|old|"
+    r"dark|light|default|custom|policy|settings|preferences|trail|thread|tree|input|field|cta|close|toggle|trigger|app|web|global|local)")
+_COMMENTS = re.compile(r"(?:comments?|disqus|reply|replies|responses?)")
 _PARTS = re.compile(r"[_-]+")
 #: Names that tell of a page what it has, is or is about: those that begin with such a word, end with a state, or name a layout.
 MODIFIERS = frozenset("has no not with without is hide show tag category cat type format status layout template theme topic term".split())
@@ -75,6 +81,7 @@ ROLES = frozenset("navigation complementary contentinfo banner search form menu
 WEAK = 1 / 6
 _MAIN = re.compile(r"(?:^|[\s_-])(?:article\w*|main|content|post|entry|story|text|body|page)(?:$|[\s_-])", re.I)
 _MAIN_NAME = re.compile(r"article|main|content|post|entry|story", re.I)
+_ARTICLE = re.compile(r"<article(?=[\s/>])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _LEGAL = re.compile(r"©|\(c\)\s|copyright|all rights reserved|privacy policy|terms of (?:use|service)", re.I)
 _PROMPT = re.compile(r"^(?:advertisement|sponsored|subscribe|sign (?:in|up)|log ?in|share (?:this|on)|read more|click here|accept|"
@@ -97,6 +104,8 @@ class _Open(NamedTuple):
     side: float
     skipped: bool
     fixed: bool = False  # inside an element, not only names, of something else
+    comments: bool = False  # inside a container of reader comments
+    article: int = -1  # blocks of the page before the article that holds it; -1: in none
 
 
 def _tag_end(page: str, p: int, last: dict[str, int]) -> int:
@@ -118,8 +127,13 @@ def _side_of(name: str) -> float:
         return 0.0
     at = next((i for i, x in enumerate(parts) if x in ("has", "no", "with", "without")), len(parts))
     parts = parts[:at]  # what stands before "with" is the thing itself
-    if any(_HARD.fullmatch(x) for x in parts):
-        return WEAK if len(parts) > 1 and parts[-1] in LAYOUTS else 1.0
+    hard = [bool(_HARD.fullmatch(x)) for x in parts]
+    if any(hard):
+        if len(parts) > 1 and parts[-1] in LAYOUTS:
+            return WEAK
+        # the thing itself, or a part of it; a word beside something else ("modal-verbs") only modifies
+        known = (h or any(r.fullmatch(x) for r in (_SOFT, _GENERIC, _PIECES)) for h, x in zip(hard, parts))
+        return 1.0 if hard[-1] or all(known) else WEAK
     soft = [bool(_SOFT.fullmatch(x)) for x in parts]
     if not any(soft):
         return 0.0
@@ -129,20 +143,24 @@ def _side_of(name: str) -> float:
 
 
 @lru_cache(maxsize=4096)
-def _named(names: str) -> tuple[float, bool]:
-    """Evidence of boilerplate of class names or an id, and whether one says main text."""
+def _named(names: str) -> tuple[float, bool, bool]:
+    """Evidence of boilerplate of class names or an id, whether one says main
+    text, and whether one names a container of comments."""
     all_names = names.split()
     sides = [_side_of(x) for x in all_names]
     side = max(sides, default=0.0)
     if side and any(_MAIN_NAME.fullmatch(x) for x in all_names) and not any(
             s == 1.0 and any(_HARD.fullmatch(y) for y in _PARTS.split(x.lower())) for s, x in zip(sides, all_names)):
         side = WEAK  # names that contradict each other
-    return side, side < 1.0 and any(not s and _MAIN.search(x) for s, x in zip(sides, all_names))
+    comments = any(s == 1.0 and any(_COMMENTS.fullmatch(y) for y in _PARTS.split(x.lower())) for s, x in zip(sides, all_names))
+    return side, side < 1.0 and any(not s and _MAIN.search(x) for s, x in zip(sides, all_names)), comments
 
 
-def _flags(tag: str, attributes: str, parent: _Open) -> tuple[bool, float, bool, bool]:
-    """content, side, skipped, fixed of an element."""
+def _flags(tag: str, attributes: str, parent: _Open, n_blocks: int, only_article: bool) -> tuple[bool, float, bool, bool, bool, int]:
+    """content, side, skipped, fixed, comments, article of an element that
+    starts after ``n_blocks`` blocks of the page."""
     content, side, skipped, fixed = parent.content, parent.side, parent.skipped or tag in SKIPPED, parent.fixed
+    comments, article = parent.comments, parent.article
     own, roles = 0.0, ""
     if attributes:
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -150,19 +168,23 @@ def _flags(tag: str, attributes: str, parent: _Open) -> tuple[bool, float, bool,
             if name == "role":
                 roles = value.strip().lower()
             elif name in ("class", "id"):
-                found, main = _named(value)
+                found, main, said = _named(value)
                 own = max(own, found)
                 content = content or main
+                comments = comments or said
             elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
                 skipped = True
     if tag in ("body", "html"):
-        own = 0.0
+        own, comments = 0.0, parent.comments
     elif tag == "main" or roles == "main":
         # main text, whatever it stands in and is called
-        return True, 0.0, skipped, False
+        return True, 0.0, skipped, False, False, article
     elif tag == "article" or roles == "article":
+        if not only_article and (parent.comments or 0 <= parent.article < n_blocks):
+            # within comments, or after text of an article it stands in: a reader's article, not the page's
+            return content, 1.0, skipped, True, True, n_blocks
         # begins anew below names; what they said of the outside remains as weak evidence
-        content = True
+        content, comments, article = True, comments and own == 1.0, n_blocks
         if not fixed:
             side = 0.0 if side < 1.0 else WEAK
         own = own if own == 1.0 else 0.0
@@ -170,13 +192,14 @@ def _flags(tag: str, attributes: str, parent: _Open) -> tuple[bool, float, bool,
         side, fixed = 1.0, tag != "header" or fixed
     elif tag == "form":
         side = 1.0
-    return content, max(side, own), skipped, fixed
+    return content, max(side, own), skipped, fixed, comments, article
 
 
 def read_blocks(page: str) -> list[Block]:
     """Blocks of a page in order, white space and references resolved."""
     last = {'"': page.rfind('"'), "'": page.rfind("'")}
     root = _Open("", 0, False, 0.0, False)
+    only_article = len(_ARTICLE.findall(page)) == 1
     stack, opened, places = [root], Counter(), 0
     blocks: list[Block] = []
     parts: list[str] = []
@@ -277,7 +300,7 @@ def read_blocks(page: str) -> list[Block]:
                     close(at)
         if tag not in VOID and not page.startswith("/", end - 1):
             places += 1
-            stack.append(_Open(tag, places, *_flags(tag, page[m.end():end], stack[-1])))
+            stack.append(_Open(tag, places, *_flags(tag, page[m.end():end], stack[-1], len(blocks), only_article)))
             opened[tag] += 1
             links += tag == "a"
     flush()

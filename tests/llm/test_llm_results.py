@@ -115,6 +115,40 @@ def test_nested_article_or_main_begins_anew():
     assert html_extract.main_text(f"<aside><article><p>{PROSE[0]}</p></article></aside>")[0] == ""
 
 
+@pytest.mark.parametrize("around", ['<section id="comments">{}</section>', '<div class="responses">{}</div>', '<div class="response">{}</div>',
+                                    '<section class="comments-area"><ol><li>{}</li></ol></section>', "{}"])
+@pytest.mark.parametrize("outside", [False, True])
+def test_articles_of_readers_are_no_main_text(around, outside):
+    """Comments as articles inside the article, as the HTML specification has them, or after it."""
+    if outside and around == "{}":
+        return  # articles side by side are all articles of the page
+    readers = around.format("".join(f"<article><p>{x}</p></article>" for x in (
+        "I liked this piece very much, thank you for it.", "The river I know does not run that way, as far as I can tell.")))
+    body = "".join(f"<p>{x}</p>" for x in PROSE)
+    page = f"<article>{body}</article>{readers}" if outside else f"<article>{body}{readers}</article>"
+    assert html_extract.main_text(f"<body>{page}</body>")[0] == "\n\n".join(PROSE)
+
+
+def test_articles_in_a_mere_wrapper_and_the_only_article_stay():
+    body = "".join(f"<p>{x}</p>" for x in PROSE)
+    for page in (f"<article><article>{body}</article></article>", f"<div class='responses'><article>{body}</article></div>",
+                 f"<div class='feed'><article>{body}</article></div>"):
+        assert html_extract.main_text(page)[0] == "\n\n".join(PROSE), page
+
+
+@pytest.mark.parametrize("names", ["modal-verbs", "widget-review", "menu-of-the-day", "banner-making", "cookie-recipes", "login-history", "overlay-networks-explained"])
+def test_names_that_only_begin_like_boilerplate(names):
+    for tag in ("div", "section", "article", "main"):
+        assert article(f'class="{names}"', tag) == "\n\n".join(PROSE)
+    assert html_extract.main_text(f"<main><div id='{names}'>{''.join(f'<p>{x}</p>' for x in PROSE)}</div></main>")[0] == "\n\n".join(PROSE)
+
+
+def test_formulas_stay_in_the_text():
+    page = ("<article><p>So <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation encoding='application/x-tex'>x = 1"
+            "</annotation></semantics></math> holds for every case of it.</p></article>")
+    assert html_extract.main_text(page)[0] == "So x=1 holds for every case of it."
+
+
 def test_main_text_of_the_pages_table(spark):
     for r in W["op2_html"](spark, SF_SMALL).join(table(spark, "pages").select("page_id", "html"), "page_id").collect():
         inside = re.search("<article>(.*?)</article>", r.html, re.S)[1]
