@@ -16,7 +16,7 @@ from quarry.operators.scrape import scrape_records
 from quarry.plans.scrape import keyed_urls, scrape, scrape_each
 from quarry.sources import derived as D, keyed
 from quarry.sources.pages import fetch, page_snapshots
-from quarry.sources.tables import load
+from quarry.sources.tables import files_of, load
 from quarry.functions.analysis import build_prompt as _build_prompt, strict_json
 from quarry.operators.annotate import (batch_annotator, first_valid_attempt as _first_valid,
                                        offline_annotator, validate_responses)
@@ -555,7 +555,7 @@ def stream_pipeline(spark, d):
     rows.  A second stream over the same pages adds nothing."""
     base = scratch_path(spark, "stream")
     for run in ("first", "again"):
-        _stream.ingest_stream(spark, d, "pages.parquet", base, scratch_path(spark, f"stream-{run}"),
+        _stream.ingest_stream(spark, *files_of(spark, d, "pages"), base, scratch_path(spark, f"stream-{run}"),
                               to_snapshot_rows=lambda b: b.selectExpr(*D.SNAPSHOT_EXPRS), min_chars=300, run_ts=RUN_TS)
     return _stored(spark, base)
 
@@ -616,23 +616,23 @@ def vector_append(spark, d):
 @register("stream_ingest")
 def stream_ingest(spark, d):
     target, ckpt = scratch_path(spark, "t1"), scratch_path(spark, "t1ckpt")
-    _stream.ingest_pages(spark, d, "pages.parquet", target, ckpt)
+    _stream.ingest_pages(spark, *files_of(spark, d, "pages"), target, ckpt)
     # a second run from a fresh checkpoint replays every file: adds nothing
-    _stream.ingest_pages(spark, d, "pages.parquet", target, scratch_path(spark, "t1ckpt2"))
-    return keyed.read(spark, target).select("url_key", F.col("ord").alias("page_id"))
+    _stream.ingest_pages(spark, *files_of(spark, d, "pages"), target, scratch_path(spark, "t1ckpt2"))
+    return keyed.read(spark, target, "url_key string, ord long").select("url_key", F.col("ord").alias("page_id"))
 
 
 @register("stream_dedup")
 def stream_dedup(spark, d):
     target, ckpt = scratch_path(spark, "t2"), scratch_path(spark, "t2ckpt")
-    _stream.dedup_stream(spark, d, "pages.parquet", target, ckpt)
+    _stream.dedup_stream(spark, *files_of(spark, d, "pages"), target, ckpt)
     return spark.read.parquet(target).select("url_key")
 
 
 @register("stream_flow")
 def stream_flow(spark, d):
     target, ckpt = scratch_path(spark, "t3"), scratch_path(spark, "t3ckpt")
-    _stream.scrape_stream(spark, d, "pages.parquet", target, ckpt,
+    _stream.scrape_stream(spark, *files_of(spark, d, "pages"), target, ckpt,
                           to_snapshot_rows=lambda b: b.selectExpr(*D.SNAPSHOT_EXPRS),
                           min_chars=500, run_ts=RUN_TS)
-    return keyed.read(spark, target).select("url", "status", "error", "title", "chars")
+    return keyed.read(spark, target, _RAW).select("url", "status", "error", "title", "chars")

@@ -34,3 +34,12 @@ def load(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     footer (no inference pass), and Catalyst prunes columns and pushes
     filters into the scan (through the round-robin spread as well)."""
     return spread(spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet"))
+
+
+def files_of(spark: SparkSession, base_dir: str, name: str) -> tuple[str, str]:
+    """Folder and file pattern of a table for a stream of its files: a table is
+    one file under ``base_dir`` or a folder of part files."""
+    path = f"{base_dir.rstrip('/')}/{name}.parquet"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (path, "*.parquet") if fs.getFileStatus(p).isDirectory() else (base_dir, f"{name}.parquet")
