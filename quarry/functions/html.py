@@ -34,6 +34,8 @@ COMMENT_RE = r"(?s)<!--.*?-->"
 BOILERPLATE_TAGS = ["script", "style", "nav", "header", "footer", "aside", "form", "table"]
 BOILERPLATE_RE = "(?is)" + "|".join(
     rf"<{t}\b.*?</{t}\s*>" for t in BOILERPLATE_TAGS)
+# the same matches; the alternatives are tried only where a tag begins
+BOILERPLATE_AT_TAG_RE = "(?is)<(?:" + "|".join(rf"{t}\b.*?</{t}\s*>" for t in BOILERPLATE_TAGS) + ")"
 CONTAINER_TAGS = ["article", "main"]
 BODY_RE = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
 BREAK_RE = r"(?i)<br\b[^>]*>"
@@ -76,23 +78,24 @@ def decode_entities(col: Column) -> Column:
         after = F.call_function("substr", x, F.call_function("instr", x, F.lit(";")) + 1)
         decimal, hexa, name = (F.regexp_extract(x, r, 1) for r in (DECIMAL_RE, HEX_RE, NAME_RE))
         table = F.create_map(*[F.lit(v) for k, n in NAMED.items() for v in (k, chr(n))])
+        named = bind(F.element_at(table, name), lambda sign: F.when(sign.isNotNull(), F.concat(sign, after)).otherwise(F.concat(F.lit("&"), x)))
         return (F.when(decimal != "", F.concat(_character(decimal.cast("long")), after))
                  .when(hexa != "", F.concat(_character(F.conv(hexa, 16, 10).cast("long")), after))
-                 .when((name != "") & F.element_at(table, name).isNotNull(), F.concat(F.element_at(table, name), after))
-                 .otherwise(F.concat(F.lit("&"), x)))
+                 .otherwise(named))
 
     def decoded(parts: Column) -> Column:
         return F.array_join(F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(piece(x))), "")
-    return F.when(col.contains("&"), bind(F.split(col, "&"), decoded)).otherwise(col)
+    return bind(col, lambda c: F.when(c.contains("&"), bind(F.split(c, "&"), decoded)).otherwise(c))
 
 
 def _nonempty(col: Column) -> Column:
-    return F.nullif(col, F.lit(""))
+    """Null for an empty text; ``col``, read twice, is evaluated once."""
+    return bind(col, lambda c: F.nullif(c, F.lit("")))
 
 
 def main_html(html: Column) -> Column:
     """Inner HTML of the main content container, boilerplate removed."""
-    cleaned = F.regexp_replace(F.regexp_replace(html, COMMENT_RE, ""), BOILERPLATE_RE, "")
+    cleaned = F.regexp_replace(F.regexp_replace(html, COMMENT_RE, ""), BOILERPLATE_AT_TAG_RE, "")
 
     def pick(h: Column) -> Column:
         candidates = [_nonempty(F.regexp_extract(h, container_re(t), 1)) for t in CONTAINER_TAGS]
