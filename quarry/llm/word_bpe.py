@@ -18,7 +18,7 @@ ids of runs and of words it has met, in caches of bounded size.  Special tokens
 are found in the text as it is and stay whole, as the library does by default.
 
 Scale: one scan without a shuffle; a task holds one Arrow batch, its caches and
-the runs of about a megabyte of text.
+the runs of about two megabytes of text.
 
 Defined results: a null or empty text, and one of white space, has no ids and
 decodes to the empty text; null ids in a list decode to nothing; null keys,
@@ -31,6 +31,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import string
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -44,7 +45,7 @@ CACHE = 150_000
 #: Words and runs longer than this many characters are not kept.
 KEPT_LENGTH = 48
 #: Characters of text whose runs are held at once, and words merged at once.
-STEP_CHARS, STEP_WORDS = 1 << 20, 2048
+STEP_CHARS, STEP_WORDS = 1 << 21, 2048
 NO_RANK = 1 << 30
 PRINTABLE = re.compile(r"[!-~]+").fullmatch
 #: Matches of the file's splitter in printable ASCII in lower case; a line end
@@ -52,6 +53,8 @@ PRINTABLE = re.compile(r"[!-~]+").fullmatch
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|\n|[^a-z0-9\n]+").findall
 #: Characters that Python's split takes for white space and the file does not.
 SEPARATORS = re.compile("[\x1c-\x1f]").search
+#: ASCII characters that the splitter parts from letters before them, each a match of its own at the end of a run.
+SIGNS = frozenset(map(chr, range(33, 127))) - frozenset(string.ascii_letters)
 BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -184,9 +187,8 @@ class Kept:
         return self.now
 
     def forget_long(self, keys: set[str]) -> None:
-        for k in keys:
-            if len(k) > KEPT_LENGTH:
-                self.now.pop(k, None)
+        for k in [k for k in keys if len(k) > KEPT_LENGTH]:
+            self.now.pop(k, None)
 
 
 class Encoder:
@@ -206,9 +208,19 @@ class Encoder:
     def words_of(self, runs: list[str]) -> list[list[str]]:
         """The words of each run, as the file normalizes and splits it."""
         plain, other = [], []
+        out: list[list[str]] = [[]] * len(runs)
         for n, r in enumerate(runs):
-            (plain if PRINTABLE(r) else other).append(n)
-        out = [[] for _ in runs]
+            if not r.isascii():
+                other.append(n)
+            elif r.isalpha():  # letters only: one word
+                out[n] = [r.lower()]
+            elif r[:-1].isalpha() and r[-1] in SIGNS:  # letters and one sign
+                out[n] = [r[:-1].lower(), r[-1]]
+            else:
+                (plain if PRINTABLE(r) else other).append(n)
+                out[n] = []
+        for n in other:
+            out[n] = []
         at = iter(plain)
         to = out[next(at)] if plain else None
         for w in ASCII_WORDS("\n".join([runs[n] for n in plain]).lower()):
@@ -228,7 +240,7 @@ class Encoder:
         distinct = {w for ws in split for w in ws}
         of = self.words.fill(distinct, self.vocabulary.merge)
         for r, ws in zip(runs, split):
-            yield r, b"".join([of[w] for w in ws])
+            yield r, of[ws[0]] if len(ws) == 1 else b"".join([of[w] for w in ws])
         self.words.forget_long(distinct)
 
     def pieces(self, text: str) -> Iterator[tuple[list[str], bytes]]:
@@ -252,7 +264,7 @@ class Encoder:
             distinct = set().union(*[r for _, r, _ in waiting])
             of = self.runs.fill(distinct, self.learn)
             for n, runs, ids in waiting:
-                out[n].append(ids or b"".join([of[r] for r in runs]))
+                out[n].append(ids or b"".join(map(of.__getitem__, runs)))
             self.runs.forget_long(distinct)
             waiting.clear()
         for n, t in enumerate(texts):

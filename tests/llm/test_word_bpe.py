@@ -60,3 +60,13 @@ def test_odd_rows(spark):
     assert word_bpe.encode(df.limit(0), PATH).collect() == []
     lists = spark.createDataFrame([(None,), ([320, None, 10**6],)], "ids array<int>")
     assert [r.t for r in lists.select(word_bpe.decode(F.col("ids"), PATH).alias("t")).collect()] == ["", "a</w>"]
+
+
+def test_runs_of_letters_need_no_pattern(monkeypatch, library):
+    """Runs of ASCII letters, and these with a sign behind, are words as they are."""
+    seen, found = [], word_bpe.ASCII_WORDS
+    monkeypatch.setattr(word_bpe, "ASCII_WORDS", lambda text: seen.append(text) or found(text))
+    text = "Plain words, THEN others. it's a1 x-- y7! don't 'tis 'S s' end's! é. Straße, a_ b"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert word_bpe.Encoder(PATH, 100).encode_all([text]) == [struct.pack(f"<{len(ids)}i", *ids)]
+    assert set("\n".join(seen).split()) == set("it's x-- y7! don't 'tis 's end's!".split())
