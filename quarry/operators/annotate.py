@@ -44,6 +44,13 @@ def offline_summary(text):
     return strip(F.regexp_extract(text, SUMMARY_RE, 0))
 
 
+def _most_frequent(counts: Counter) -> list[str]:
+    """The ``TOPIC_COUNT`` most frequent words, ties by word; only words as
+    frequent as the last of them are put in order."""
+    least = sorted(counts.values())[-TOPIC_COUNT:][:1] or [0]
+    return sorted((w for w, n in counts.items() if n >= least[0]), key=lambda w: (-counts[w], w))[:TOPIC_COUNT]
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _top_words(texts: pa.Array) -> pa.Array:
     """The most frequent topic words of each lower-cased text, ties by word."""
@@ -52,8 +59,7 @@ def _top_words(texts: pa.Array) -> pa.Array:
     find = regex.compile(TOPIC_TOKEN_RE).findall
     out = []
     for t in texts:
-        counts = Counter(find(t.as_py() or ""))
-        out.append(sorted(counts, key=lambda w: (-counts[w], w))[:TOPIC_COUNT])
+        out.append(_most_frequent(Counter(find(t.as_py() or ""))))
     return pa.array(out, pa.list_(pa.string()))
 
 
