@@ -6,15 +6,21 @@ holds whole documents, their index, and their ids in blocks.  Every block is
 coded on its own (all models start afresh) and has a checksum, so a damaged
 block is found and does not touch the others.
 
-Model of a block: the order-2 model predicts the id that followed the last two
-ids before, the order-1 model the id that followed the last one, each with a
-count of how often it was right in a row; the order-0 model has the counts of
-size classes of ids.  An id is coded as one of the symbols "as order 2 says",
-"as order 1 says", or its size class, with frequencies mixed from the counts
-of the two predictors' present confidence and those of the whole block; after
-a size class follow the remaining bits of the id.  A carry-less range coder
-turns frequencies into bytes.  Blocks are independent, so a task codes many in
-step: position t of all of them is one round of array operations.
+A block is cut into streams that run in step: round t codes place t of every
+stream by array operations, and all streams learn from it together.  The
+order-2 model predicts the id that followed the last two ids before, the
+order-1 model the id that followed the last one, each with a count of how often
+it was right in a row; the order-0 model has the counts of the ids that neither
+predicted.  An id is coded as "as order 2 says", "as order 1 says", by order 0,
+or, if order 0 has not met it, by its number.  Frequencies of these four are
+mixed from the counts of the two predictors' present confidence and those of
+the whole block; the weight of either moves to the one that foretold better.
+A range coder turns frequencies into 16-bit words of each stream; carries are
+added when the block is done.  All of it is integer arithmetic.
+
+Texts are cut before every blank that a character follows, where no match of
+the pattern goes on; the tokenizers library encodes each distinct run once per
+worker, many runs joined to a text, whose ids are dealt back by their bytes.
 
 Files are the rows of a Parquet folder (Spark's commit protocol, any store
 that Spark can write): part number, place in the part, ids before it in the
@@ -30,199 +36,251 @@ result; ids must be from 0 to 2**18 - 2.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.word_bpe import SIGNS, Kept
+
 END_ID = 2
-BLOCK_IDS = 4096
-LANES = 512  # blocks coded in step
-SEGMENT_IDS = 1 << 16
+BLOCK_IDS = SEGMENT_IDS = 1 << 20
+LANES, LANE_IDS = 4096, 256  # most streams of a block; ids of a stream at least, if there are so many
 BROADCAST_PARTS = 1_000_000  # 16 bytes each
-MAGIC = b"QTK1"
+MAGIC = b"QTK2"
+MOST_ID = (1 << 18) - 2
 
-CLASSES = 18  # size classes 0..17 of id + 1
-SYMBOLS = 2 + CLASSES
 LEVELS = 4  # confidence of a predictor: 0 to 3
-HASH_BITS = 12
-SETTLED, WHOLE = np.uint64(1 << 48), np.uint64(0xFFFFFFFFFFFFFFFF)
-WORD, ONE = np.uint64(16), np.uint64(1)
-STEP, MOST = 24, 1 << 13  # added to a count; sum at which counts are halved
+SYMBOLS = 4  # as order 2 says, as order 1 says, by order 0, by number
+HASH1, HASH2 = 16, 18  # bits of the predictors' tables
+TOTAL_BITS = 16  # frequencies sum to 2**16
+TOP, WORD = 46, 16
+LEAST = 1 << TOP
+STEP, MOST = 24, 1 << 20  # added to a count; sum at which counts are halved
+
+STEP_BYTES = 1 << 22  # of text whose runs are looked up at once
+JOINED = 2048  # runs that the library gets as one text
+#: Patterns no match of which goes on over a blank that a character follows.
+CUT_AT_BLANKS = frozenset([r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"])
+CUT = re.compile(r" (?=\S)").split
 
 
 class _Model:
-    """Predictors and counts of many blocks, each a lane of every array."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.next2 = np.zeros((lanes << HASH_BITS), dtype=np.int32)
-        self.next1 = np.zeros((lanes << HASH_BITS), dtype=np.int32)
-        self.trust2 = np.zeros((lanes << HASH_BITS), dtype=np.int8)
-        self.trust1 = np.zeros((lanes << HASH_BITS), dtype=np.int8)
-        self.by_trust = np.ones((lanes * LEVELS * LEVELS, SYMBOLS), dtype=np.int32)
-        self.block = np.ones((lanes, SYMBOLS), dtype=np.int32)
-        self.sums = np.zeros((lanes, SYMBOLS + 1), dtype=np.int32)
-        self.a = np.zeros(lanes, dtype=np.int64)
-        self.b = np.zeros(lanes, dtype=np.int64)
-
-    def predict(self, m: int) -> None:
-        """For the first m lanes: predicted ids and cumulative frequencies."""
-        base = self.lane[:m] << HASH_BITS
-        a, b = self.a[:m], self.b[:m]
-        self.at2 = base + (((a * 40503 + b * 2654435761) >> 7) & ((1 << HASH_BITS) - 1))
-        self.at1 = base + (((b * 2654435761) >> 9) & ((1 << HASH_BITS) - 1))
-        self.guess2, self.guess1 = self.next2[self.at2], self.next1[self.at1]
-        self.t2, self.t1 = self.trust2[self.at2], self.trust1[self.at1]
-        self.context = (self.lane[:m] * LEVELS + self.t2) * LEVELS + self.t1
-        counts = self.by_trust[self.context]
-        counts += counts
-        counts += self.block[:m]
-        self.cumulative = self.sums[:m]
-        np.cumsum(counts, axis=1, out=self.cumulative[:, 1:])
-
-    def update(self, m: int, symbols: np.ndarray, ids: np.ndarray) -> None:
-        lane = self.lane[:m]
-        self.by_trust[self.context, symbols] += STEP
-        self.block[lane, symbols] += STEP
-        total = self.cumulative[:, -1]
-        full = np.flatnonzero(total > MOST)
-        if len(full):
-            self.block[full] = (self.block[full] + 1) >> 1
-            self.by_trust[self.context[full]] = (self.by_trust[self.context[full]] + 1) >> 1
-        for at, nxt, trust, guess, t in ((self.at2, self.next2, self.trust2, self.guess2, self.t2),
-                                         (self.at1, self.next1, self.trust1, self.guess1, self.t1)):
-            right = guess == ids
-            trust[at] = np.where(right, np.minimum(t + 1, LEVELS - 1), 0)
-            nxt[at] = ids
-        self.a[:m] = self.b[:m]
-        self.b[:m] = ids
-
-
-def _size_class(ids: np.ndarray) -> np.ndarray:
-    return np.frexp((ids + 1).astype(np.float64))[1] - 1
-
-
-class _Coder:
-    """Interval [low, low + span) of every lane, as 64-bit numbers; leading
-    16-bit words that can change no more are shifted out.  An interval that
-    gets small across a border of words is cut there, so nothing carries."""
-
-    def __init__(self, lanes: int):
-        self.low, self.span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, WHOLE)
-
-    def narrow(self, m: int, start: np.ndarray, width: np.ndarray, r: np.ndarray) -> None:
-        self.low[:m] += start.astype(np.uint64) * r
-        np.multiply(width.astype(np.uint64), r, out=self.span[:m])
-
-    def shift(self, m: int, moved) -> None:
-        """Shift words out of the first m lanes; ``moved(lanes, words)`` sees them."""
-        low, span = self.low[:m], self.span[:m]
-        at = np.flatnonzero((span < SETTLED) | ((low ^ (low + span)) < SETTLED))
-        while len(at):
-            lo, sp = low[at], span[at]
-            cut = (lo ^ (lo + sp)) >= SETTLED
-            sp = np.where(cut, (~lo + ONE) & (SETTLED - ONE), sp)
-            moved(at, lo >> np.uint64(48))
-            lo, sp = lo << WORD, sp << WORD
-            low[at], span[at] = lo, sp
-            at = at[(sp < SETTLED) | ((lo ^ (lo + sp)) < SETTLED)]
-
-
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Code every block (int array) on its own; all run in step."""
-    order = np.argsort([-len(b) for b in blocks], kind="stable")
-    n = np.array([len(blocks[i]) for i in order], dtype=np.int64)
-    lanes, longest = len(blocks), int(n[0]) if len(n) else 0
-    ids = np.zeros((longest, lanes), dtype=np.int64)
-    for k, i in enumerate(order):
-        ids[:n[k], k] = blocks[i]
-    classes = _size_class(ids)
-    model, coder = _Model(lanes), _Coder(lanes)
-    out = np.zeros((lanes, 3 * longest + 8), dtype="<u2")
-    size = np.zeros(lanes, dtype=np.int64)
-
-    def moved(k, words):
-        out[k, size[k]] = words
-        size[k] += 1
-
-    active = np.searchsorted(-n, -np.arange(longest), side="left")  # lanes with more than t ids
-    for t in range(longest):
-        m = int(active[t])
-        x, c = ids[t, :m], classes[t, :m]
-        model.predict(m)
-        symbols = np.where(x == model.guess2, 0, np.where(x == model.guess1, 1, c + 2))
-        k = model.lane[:m]
-        start = model.cumulative[k, symbols]
-        coder.narrow(m, start, model.cumulative[k, symbols + 1] - start, coder.span[:m] // model.cumulative[:, -1].astype(np.uint64))
-        plain = np.flatnonzero(symbols > 2)
-        if len(plain):
-            bits = c[plain].astype(np.uint64)
-            r = coder.span[plain] >> bits
-            coder.low[plain] += ((x[plain] + 1).astype(np.uint64) ^ (ONE << bits)) * r
-            coder.span[plain] = r
-        coder.shift(m, moved)
-        model.update(m, symbols, x)
-    for _ in range(4):
-        moved(model.lane, coder.low >> np.uint64(48))
-        coder.low <<= WORD
-    coded: list[bytes] = [b""] * lanes
-    for k, i in enumerate(order):
-        coded[i] = out[k, :size[k]].tobytes()
-    return coded
+    """Predictors and counts of a block, shared by its streams."""
+
+    def __init__(self, top: int):
+        self.next1, self.next2 = np.zeros(1 << HASH1, np.int32), np.zeros(1 << HASH2, np.int32)  # id * LEVELS + confidence
+        self.by_trust, self.block = np.ones((LEVELS * LEVELS, SYMBOLS), np.int64), np.ones(SYMBOLS, np.int64)
+        self.weight = np.full((LEVELS * LEVELS, 1), 8, np.int64)  # sixteenths of by_trust
+        self.tally = np.zeros(LEVELS * LEVELS * SYMBOLS, np.int64)
+        self.bits = max(1, top.bit_length())
+        self.shifts = np.array([0, 0, TOTAL_BITS, self.bits])
+        self.counts, self.counted = np.zeros(top + 1, np.int64), 0
+        self.mix()
+        self.rank()
+
+    def _shares(self) -> tuple[np.ndarray, np.ndarray]:
+        return (self.by_trust << TOTAL_BITS) // self.by_trust.sum(1, keepdims=True), (self.block << TOTAL_BITS) // self.block.sum()
+
+    def mix(self) -> None:
+        """Frequencies of the four symbols, after what was met since the last mix."""
+        each, whole = self._shares()
+        tally = self.tally.reshape(-1, SYMBOLS)
+        if tally.any():
+            self.weight = np.clip(self.weight + np.sign((tally * (each - whole)).sum(1, keepdims=True)), 1, 15)
+            self.by_trust += tally * STEP
+            self.block += tally.sum(0) * STEP
+            while (full := self.by_trust.sum(1) > MOST).any():
+                self.by_trust[full] = (self.by_trust[full] + 1) >> 1
+            while self.block.sum() > MOST:
+                self.block = (self.block + 1) >> 1
+            each, whole = self._shares()
+            self.tally[:] = 0
+        mixed = each * self.weight + whole * (16 - self.weight)
+        width = (mixed * ((1 << TOTAL_BITS) - SYMBOLS) >> (TOTAL_BITS + 4)) + 1
+        width[:, 2] += (1 << TOTAL_BITS) - width.sum(1)
+        ends = np.cumsum(width, axis=1)
+        self.width, self.start = width.ravel(), (ends - width).ravel()
+        self.ends = [np.ascontiguousarray(ends[:, i]) for i in range(SYMBOLS - 1)]
+
+    def rank(self) -> None:
+        """Order 0: places of the ids that were met; the others are coded by number."""
+        total = int(self.counts.sum())
+        width = (self.counts << TOTAL_BITS) // max(total, 1)
+        if total:
+            width[np.argmax(width)] += (1 << TOTAL_BITS) - int(width.sum())
+        known = width > 0
+        self.new = (~known).astype(np.int64)
+        self.id_start = np.where(known, np.cumsum(width) - width, np.arange(len(width)))
+        self.id_width = np.where(known, width, 1)
+        self.id_shift = np.where(known, TOTAL_BITS, self.bits)
+        self.slot = np.repeat(np.arange(len(width)), width) if total else np.zeros(1 << TOTAL_BITS, np.int64)
+
+    def learn(self, t: int, ids: np.ndarray, literal: np.ndarray, x, cell, h1, h2, e1, e2, right1, right2) -> None:
+        """After round t (from 1).  Where streams meet in a table's place, numpy
+        keeps one of them, in coding as in decoding; a block's checksum of its
+        ids would tell if not."""
+        fresh = x * LEVELS
+        self.next1[h1] = np.where(right1, e1 + ((e1 & 3) < 3), fresh)
+        self.next2[h2] = np.where(right2, e2 + ((e2 & 3) < 3), fresh)
+        self.tally += np.bincount(cell, minlength=len(self.tally))
+        if t < 16 or t % 4 == 0:
+            self.mix()
+        if t & (t - 1) == 0 or t % 64 == 0:
+            self.counts += np.bincount(ids[self.counted:t][literal[self.counted:t]], minlength=len(self.counts))
+            self.counted = t
+            self.rank()
+
+
+def _hash1(b: np.ndarray) -> np.ndarray:
+    return ((b * 2654435761) >> 9) & ((1 << HASH1) - 1)
+
+
+def _hash2(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return ((a * 40503 + b * 2654435761) >> 7) & ((1 << HASH2) - 1)
+
+
+def encode_block(block: np.ndarray, lanes: int = LANES) -> bytes:
+    """Rounds, largest id and CRC-32 of the ids (unsigned little-endian 32-bit
+    each), number of words of each stream (the same), then the streams' words.
+    Stream k holds ids k * rounds and those after it."""
+    n = len(block)
+    if not n:
+        return b""
+    block = np.asarray(block, np.int64)
+    top = int(block.max())
+    if int(block.min()) < 0 or top > MOST_ID:
+        raise ValueError(f"ids must be from 0 to {MOST_ID}")
+    rounds = -(-n // max(1, min(lanes, n // LANE_IDS)))
+    streams = -(-n // rounds)
+    last = n - (streams - 1) * rounds  # ids of the last stream
+    ids = np.zeros(streams * rounds, np.int64)
+    ids[:n] = block
+    ids = np.ascontiguousarray(ids.reshape(streams, rounds).T)
+    before, before2 = np.zeros_like(ids), np.zeros_like(ids)
+    before[1:], before2[2:] = ids[:-1], ids[:-2]
+    hashes1, hashes2 = _hash1(before), _hash2(before2, before)
+    model, literal = _Model(top), np.zeros(ids.shape, bool)
+    stride = 3 * rounds + 8
+    out, base = np.zeros(streams * stride, np.int32), np.arange(streams) * stride
+    at, low, span = base.copy(), np.zeros(streams, np.int64), np.full(streams, 1 << (TOP + WORD), np.int64)
+    for t in range(rounds):
+        m = streams if t < last else streams - 1
+        x, h1, h2, lo, sp, p = ids[t, :m], hashes1[t, :m], hashes2[t, :m], low[:m], span[:m], at[:m]
+        e1, e2 = model.next1[h1], model.next2[h2]
+        right1, right2 = (e1 >> 2) == x, (e2 >> 2) == x
+        plain = ~(right1 | right2)
+        symbols = np.where(right2, 0, np.where(right1, 1, model.new[x] + 2))
+        cell = ((e2 & 3) * LEVELS + (e1 & 3)) * SYMBOLS + symbols
+        r = sp >> TOTAL_BITS
+        lo += model.start[cell] * r
+        r *= model.width[cell]
+        r >>= model.id_shift[x] * plain
+        lo += model.id_start[x] * plain * r
+        np.multiply(np.where(plain, model.id_width[x], 1), r, out=sp)
+        literal[t, :m] = plain
+        small = sp < LEAST
+        out[p] = lo >> TOP  # stays if the stream moves on, else the next word takes its place
+        p += small
+        lo[:] = np.where(small, (lo & (LEAST - 1)) << WORD, lo)
+        sp <<= small * WORD
+        more = np.flatnonzero(sp < LEAST)
+        while len(more):
+            rest = lo[more]
+            out[p[more]] = rest >> TOP
+            p[more] += 1
+            lo[more] = (rest & (LEAST - 1)) << WORD
+            sp[more] <<= WORD
+            more = more[sp[more] < LEAST]
+        model.learn(t + 1, ids, literal, x, cell, h1, h2, e1, e2, right1, right2)
+    low += 1 << 30  # whatever bits follow the two words, the value stays in the interval
+    for _ in range(2):
+        out[at] = low >> TOP
+        at += 1
+        low = (low & (LEAST - 1)) << WORD
+    size = at - base
+    words = out.reshape(streams, stride)[np.arange(stride) < size[:, None]]
+    carry = np.flatnonzero(words >> WORD)
+    while len(carry):  # never out of a stream, whose value is below 1
+        over = words[carry] >> WORD
+        words[carry] &= (1 << WORD) - 1
+        carry -= 1
+        words[carry] += over
+        carry = carry[words[carry] >> WORD > 0]
+    return struct.pack("<III", rounds, top, zlib.crc32(block.astype("<u4").tobytes())) + size.astype("<u4").tobytes() + words.astype("<u2").tobytes()
+
+
+def decode_block(coded: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, np.int64)
+    rounds, top, crc = struct.unpack_from("<III", coded)
+    streams = -(-n // rounds)
+    last = n - (streams - 1) * rounds
+    size = np.frombuffer(coded, "<u4", streams, 12).astype(np.int64)
+    words = np.concatenate([np.frombuffer(coded, "<u2", -1, 12 + 4 * streams).astype(np.int64), np.zeros(8, np.int64)])
+    at, end = np.cumsum(size) - size, len(words) - 1
+    code = words[at] << 46 | words[at + 1] << 30 | words[at + 2] << 14 | words[at + 3] >> 2
+    words[:-1] = (words[:-1] & 3) << 14 | words[1:] >> 2  # those 62 bits end within a word
+    at += 3
+    span, ids = np.full(streams, 1 << (TOP + WORD), np.int64), np.zeros((rounds, streams), np.int64)
+    model, literal = _Model(top), np.zeros(ids.shape, bool)
+    a, b = np.zeros(streams, np.int64), np.zeros(streams, np.int64)
+    for t in range(rounds):
+        m = streams if t < last else streams - 1
+        co, sp, p, h1, h2 = code[:m], span[:m], at[:m], _hash1(b[:m]), _hash2(a[:m], b[:m])
+        e1, e2 = model.next1[h1], model.next2[h2]
+        context = (e2 & 3) * LEVELS + (e1 & 3)
+        r = sp >> TOTAL_BITS
+        value = co // r
+        not2, plain, by_number = [value >= ends[context] for ends in model.ends]
+        symbols = not2.view(np.int8) + plain.view(np.int8) + by_number
+        cell = context * SYMBOLS + symbols
+        co -= model.start[cell] * r
+        r *= model.width[cell]
+        r >>= model.shifts[symbols]
+        value = co // r
+        x = np.where(by_number, np.minimum(value, top), model.slot[value & ((1 << TOTAL_BITS) - 1)])
+        x = np.where(plain, x, np.where(not2, e1, e2) >> 2)
+        co -= model.id_start[x] * plain * r
+        np.multiply(np.where(plain, model.id_width[x], 1), r, out=sp)
+        ids[t, :m], literal[t, :m] = x, plain
+        small = sp < LEAST
+        co[:] = np.where(small, co << WORD | words[p], co)
+        p += small
+        sp <<= small * WORD
+        more = np.flatnonzero(sp < LEAST)
+        while len(more):
+            co[more] = co[more] << WORD | words[p[more]]
+            p[more] += 1
+            sp[more] <<= WORD
+            more = more[sp[more] < LEAST]
+        np.minimum(p, end, out=p)
+        model.learn(t + 1, ids, literal, x, cell, h1, h2, e1, e2, (e1 >> 2) == x, (e2 >> 2) == x)
+        a, b = b, ids[t]
+    out = np.ascontiguousarray(ids.T).ravel()[:n]
+    if zlib.crc32(out.astype("<u4").tobytes()) != crc:
+        raise ValueError("the ids of a block do not fit their checksum")
+    return out
+
+
+def encode_blocks(blocks: list[np.ndarray], lanes: int = LANES) -> list[bytes]:
+    """Code every block (int array) on its own, in up to ``lanes`` streams."""
+    return [encode_block(b, lanes) for b in blocks]
 
 
 def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     """The ids of blocks made by ``encode_blocks``."""
-    order = np.argsort([-x for x in lengths], kind="stable")
-    n = np.array([lengths[i] for i in order], dtype=np.int64)
-    lanes, longest = len(coded), int(n[0]) if len(n) else 0
-    data = np.zeros((lanes, max([len(c) // 2 for c in coded], default=0) + 8), dtype="<u2")
-    for k, i in enumerate(order):
-        data[k, :len(coded[i]) // 2] = np.frombuffer(coded[i], dtype="<u2")
-    code = np.zeros(lanes, dtype=np.uint64)
-    for word in range(4):
-        code = (code << WORD) | data[:, word].astype(np.uint64)
-    size = np.full(lanes, 4, dtype=np.int64)
-    model, coder, ids = _Model(lanes), _Coder(lanes), np.zeros((longest, lanes), dtype=np.int64)
-
-    def moved(k, words):
-        code[k] = (code[k] << WORD) | data[k, size[k]].astype(np.uint64)
-        size[k] += 1
-
-    active = np.searchsorted(-n, -np.arange(longest), side="left")
-    for t in range(longest):
-        m = int(active[t])
-        model.predict(m)
-        k = model.lane[:m]
-        total = model.cumulative[:, -1].astype(np.uint64)
-        r = coder.span[:m] // total
-        value = np.minimum((code[:m] - coder.low[:m]) // r, total - ONE).astype(np.int32)
-        symbols = (model.cumulative[:, 1:] <= value[:, None]).sum(axis=1)
-        start = model.cumulative[k, symbols]
-        coder.narrow(m, start, model.cumulative[k, symbols + 1] - start, r)
-        x = np.where(symbols == 0, model.guess2, np.where(symbols == 1, model.guess1, 0)).astype(np.int64)
-        plain = np.flatnonzero(symbols > 2)
-        if len(plain):
-            bits = (symbols[plain] - 2).astype(np.uint64)
-            r = coder.span[plain] >> bits
-            rest = np.minimum((code[plain] - coder.low[plain]) // r, (ONE << bits) - ONE)
-            coder.low[plain] += rest * r
-            coder.span[plain] = r
-            x[plain] = (rest | (ONE << bits)).astype(np.int64) - 1
-        coder.shift(m, moved)
-        ids[t, :m] = x
-        model.update(m, symbols, x)
-    out: list[np.ndarray] = [np.empty(0, np.int64)] * lanes
-    for k, i in enumerate(order):
-        out[i] = ids[:n[k], k]
-    return out
+    return [decode_block(c, n) for c, n in zip(coded, lengths)]
 
 
 def pack(lengths: list[int], coded: list[bytes]) -> bytes:
@@ -254,26 +312,91 @@ def split_blocks(ids: np.ndarray, block_ids: int) -> list[np.ndarray]:
     return [ids[i:i + block_ids] for i in range(0, len(ids), block_ids)]
 
 
-class _Pieces(dict):
-    """piece -> its ids by the tokenizers library, as little-endian bytes."""
+class _Encoder:
+    """Ids of texts by the tokenizers library, looked up by run.  ``cuts``: the
+    pattern lets texts be cut at blanks; else runs are the pattern's matches."""
 
-    def __init__(self, definition: str, most: int):
-        super().__init__()
+    def __init__(self, definition: str, pattern: str, most: int):
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_str(definition), most
+        self.tokenizer, self.kept = Tokenizer.from_str(definition), Kept(most)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
-
-
-_WORKER: dict[tuple, _Pieces] = {}
+        self.cuts, self.split = pattern in CUT_AT_BLANKS, regex.compile(pattern).findall
+        vocabulary = json.loads(definition)["model"]["vocab"]
+        names = vocabulary.items() if isinstance(vocabulary, dict) else []
+        self.bytes_of = np.zeros(max([i for _, i in names], default=0) + 1, np.int64)
+        for name, i in names:  # a byte-level token has a sign for each byte
+            self.bytes_of[i] = len(name)
+        self.signs = {s: self.alone(s) for s in SIGNS}
+
+    def alone(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def learn(self, runs: list[str]) -> Iterator[tuple[str, bytes]]:
+        joined = [r for r in runs if r[0] == " "] if self.cuts else []
+        for i in range(0, len(joined), JOINED):
+            some = joined[i:i + JOINED]
+            text = "".join(some)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            ends = np.cumsum(self.bytes_of[np.minimum(ids, len(self.bytes_of) - 1)])
+            stops = np.cumsum([*map(len, some if text.isascii() else map(str.encode, some))])
+            cut = np.searchsorted(ends, stops) + 1
+            if len(ids) and ends[-1] == stops[-1] and np.array_equal(ends[cut - 1], stops):
+                data, cut = ids.tobytes(), (4 * cut).tolist()
+                yield from zip(some, [data[a:b] for a, b in zip([0, *cut], cut)])
+            else:  # tokens that do not spell the text
+                yield from ((r, self.alone(r)) for r in some)
+        yield from ((r, self.alone(r)) for r in runs if not self.cuts or r[0] != " ")
+
+    def runs(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(distinct runs, numbers of each text's runs one after another, where each text's begin)."""
+        if self.cuts:
+            lists = pc.split_pattern(texts, " ")
+            found, at = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
+            at, number, runs = at - at[0], found.indices.to_numpy(), found.dictionary.to_pylist()
+            astray = np.array([not r or r[0].isspace() for r in runs])
+            inner = astray[number]
+            inner[at[:-1]] = False
+            if inner.any():  # blanks that white space follows
+                rows = [CUT(t) for t in texts.to_pylist()]
+        else:
+            rows = [self.split(t) for t in texts.to_pylist()]
+        if not self.cuts or inner.any():
+            at = np.cumsum([0, *map(len, rows)])
+            found = pa.array(chain.from_iterable(rows), pa.string()).dictionary_encode()
+            number, runs = found.indices.to_numpy(), found.dictionary.to_pylist()
+        if not self.cuts:
+            return runs, number, at
+        first, where = np.unique(number[at[:-1]], return_inverse=True)
+        number = number.copy()
+        number[at[:-1]] = len(runs) + where  # a text's first run has no blank before it
+        return [" " + r for r in runs] + [runs[i] for i in first.tolist()], number, at
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id; number of ids of each text)."""
+        runs, number, at = self.runs(texts.fill_null(""))
+        pairs = []  # (run, sign after it): letters and one sign are two matches
+        for r in runs:
+            body = r[:-1]
+            sign = self.cuts and r[-1:] in SIGNS and body[1:].isalpha() and body.isascii() and (body[0] == " " or body[0].isalpha())
+            pairs.append((body, r[-1]) if sign else (r, ""))
+        distinct = {r for r, _ in pairs if r}
+        of = self.kept.fill(distinct, self.learn)
+        values = [of[r] + self.signs[s] if s else of[r] if r else b"" for r, s in pairs]
+        self.kept.forget_long(distinct)
+        values.append(np.array([end_id], dtype="<u4").tobytes())
+        pool = np.frombuffer(b"".join(values), dtype="<u4")
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        number = np.insert(number, at[1:], len(values) - 1)
+        sizes = size[number]
+        ends = np.cumsum(sizes)
+        place = np.repeat((np.cumsum(size) - size)[number] - (ends - sizes), sizes)
+        place += np.arange(len(place))
+        return pool[place], np.diff(ends[at[1:] + np.arange(len(texts))], prepend=0)
+
+
+_WORKER: dict[tuple, _Encoder] = {}
 
 
 def write(df: DataFrame, path: str, tokenizer: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -281,63 +404,54 @@ def write(df: DataFrame, path: str, tokenizer: str, pattern: str, id_col: str =
           cache_pieces: int = 250_000) -> None:
     """Write the ids of all texts as token files under ``path``.
 
-    ``tokenizer`` is a tokenizer file; ``pattern`` is its splitting pattern:
-    the library encodes each distinct piece once per worker."""
+    ``tokenizer`` is a tokenizer file; ``pattern`` is its splitting pattern;
+    about ``cache_pieces`` runs are kept in each of two generations."""
     shared = df.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie", "text").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        key = (tokenizer, cache_pieces)
+        key = (tokenizer, pattern, cache_pieces)
         if key not in _WORKER:
             _WORKER.clear()
-            _WORKER[key] = _Pieces(shared.value, cache_pieces)
-        pieces, split = _WORKER[key], regex.compile(pattern).findall
-        tail = np.array([end_id], dtype="<u4").tobytes()
+            _WORKER[key] = _Encoder(shared.value, pattern, cache_pieces)
         part, before, place = TaskContext.get().partitionId(), 0, 0
-        segments: list[tuple] = []  # document ids, token counts, ids
-        now: tuple = ([], [], [])
-        held = in_now = 0
+        docs, counts, held, n_held = [], [], [], 0  # document ids, token counts, ids
 
         def flush() -> pa.RecordBatch:
-            nonlocal before, place, segments, held
-            blocks = [split_blocks(np.frombuffer(b"".join(s[2]), dtype="<u4"), block_ids) for s in segments]
-            every = [b for bs in blocks for b in bs]
-            coded = [c for i in range(0, len(every), lanes) for c in encode_blocks(every[i:i + lanes])]
-            firsts, packed, at = [], [], 0
-            for s, bs in zip(segments, blocks):
-                firsts.append(before)
-                before += sum(s[1])
-                packed.append(pack([len(b) for b in bs], coded[at:at + len(bs)]))
-                at += len(bs)
+            nonlocal before, place, docs, counts, held, n_held
+            blocks = split_blocks(np.concatenate(held), block_ids)
+            packed = pack([len(b) for b in blocks], encode_blocks(blocks, lanes))
             batch = pa.RecordBatch.from_arrays([
-                pa.array([part] * len(segments), pa.int32()), pa.array(range(place, place + len(segments)), pa.int64()),
-                pa.array(firsts, pa.int64()), pa.array([s[0] for s in segments], pa.list_(pa.int64())),
-                pa.array([s[1] for s in segments], pa.list_(pa.int64())), pa.array(packed, pa.binary())],
+                pa.array([part], pa.int32()), pa.array([place], pa.int64()), pa.array([before], pa.int64()),
+                pa.array([docs], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64())), pa.array([packed], pa.binary())],
                 ["part", "place", "first", "doc_ids", "n_tokens", "segment"])
-            place += len(segments)
-            segments, held = [], 0
+            before += n_held
+            place += 1
+            docs, counts, held, n_held = [], [], [], 0
             return batch
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = b"".join(map(pieces.__getitem__, split(text.as_py() or ""))) + tail
-                now[0].append(doc)
-                now[1].append(len(ids) // 4)
-                now[2].append(ids)
-                in_now += len(ids) // 4
-                if in_now >= segment_ids:
-                    segments.append(now)
-                    held += in_now
-                    now, in_now = ([], [], []), 0
-                if held >= lanes * block_ids:
-                    yield flush()
-        if now[0]:
-            segments.append(now)
-        if segments:
+            bytes_before = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            stop = 0
+            while stop < len(batch):
+                start = stop
+                most = STEP_BYTES + (bytes_before[start - 1] if start else 0)
+                stop = max(start + 1, int(np.searchsorted(bytes_before, most, "right")))
+                ids, n = _WORKER[key].encode(batch.column(1).slice(start, stop - start), end_id)
+                names, ends = batch.column(0).slice(start, stop - start).to_pylist(), np.cumsum(n)
+                i = done = 0
+                while i < len(n):  # a segment ends with the document that fills it
+                    j = min(len(n), int(np.searchsorted(ends, done + segment_ids - n_held)) + 1)
+                    docs += names[i:j]
+                    counts += n[i:j].tolist()
+                    held.append(ids[done:ends[j - 1]])
+                    n_held += len(held[-1])
+                    i, done = j, int(ends[j - 1])
+                    if n_held >= segment_ids:
+                        yield flush()
+        if docs:
             yield flush()
 
     schema = "part int, place bigint, first bigint, doc_ids array<bigint>, n_tokens array<bigint>, segment binary"
@@ -347,7 +461,7 @@ def write(df: DataFrame, path: str, tokenizer: str, pattern: str, id_col: str =
 def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
     """One row per document of token files: doc_id, start (ids of all
     documents before it), n_tokens and ids (binary: unsigned little-endian
-    32-bit)."""
+    32-bit).  ``lanes`` may be given as to ``write``; a block tells its own."""
     files = spark.read.parquet(path)
     parts = files.groupBy("part").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
@@ -356,17 +470,11 @@ def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
         starts = F.broadcast(starts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        held = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            lengths = [n for r in rows for n in r[4][0]]
-            coded = [c for r in rows for c in r[4][1]]
-            blocks = [b for i in range(0, len(coded), lanes) for b in decode_blocks(coded[i:i + lanes], lengths[i:i + lanes])]
-            at = 0
-            for part, first, docs, counts, (n, _) in rows:
-                ids = np.concatenate(blocks[at:at + len(n)]).astype("<u4")
-                at += len(n)
+        for batch in batches:
+            for row in zip(*[batch.column(c) for c in ("part", "first", "doc_ids", "n_tokens", "segment")]):
+                part, first, docs, counts, segment = [x.as_py() for x in row]
+                lengths, coded = unpack(segment)
+                ids = np.concatenate(decode_blocks(coded, lengths)).astype("<u4")
                 ends = np.cumsum([0, *counts])
                 if ends[-1] != len(ids):
                     raise ValueError("a segment's index does not fit its ids")
@@ -375,16 +483,6 @@ def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
                     pa.array(counts, pa.int64()), pa.array([ids[i:j].tobytes() for i, j in zip(ends, ends[1:])], pa.binary())],
                     ["part", "doc_id", "at", "n_tokens", "ids"])
 
-        for batch in batches:
-            for r in zip(*[batch.column(c) for c in ("part", "first", "doc_ids", "n_tokens", "segment")]):
-                rows.append((*[x.as_py() for x in r[:4]], unpack(r[4].as_py())))
-                held += len(rows[-1][4][0])
-                if held >= lanes:
-                    yield from flush()
-                    rows, held = [], 0
-        if rows:
-            yield from flush()
-
     docs = files.select("part", "first", "doc_ids", "n_tokens", "segment").mapInArrow(
         run, "part int, doc_id bigint, at bigint, n_tokens bigint, ids binary")
     return docs.join(starts, "part").select("doc_id", (F.col("__base") + F.col("at")).alias("start"), "n_tokens", "ids")
