@@ -18,9 +18,10 @@ the whole block; the weight of either moves to the one that foretold better.
 A range coder turns frequencies into 16-bit words of each stream; carries are
 added when the block is done.  All of it is integer arithmetic.
 
-Texts are cut before every blank that a character follows, where no match of
-the pattern goes on; the tokenizers library encodes each distinct run once per
-worker, many runs joined to a text, whose ids are dealt back by their bytes.
+Texts are cut before every blank or line end that a character follows, where no
+match of the pattern goes on; the tokenizers library encodes each distinct run once per
+worker: a run's matches of the pattern are given to its merges, which are what
+is left to do of its work.
 
 Files are the rows of a Parquet folder (Spark's commit protocol, any store
 that Spark can write): part number, place in the part, ids before it in the
@@ -68,11 +69,12 @@ TOP, WORD = 46, 16
 LEAST = 1 << TOP
 STEP, MOST = 24, 1 << 20  # added to a count; sum at which counts are halved
 
-STEP_BYTES = 1 << 22  # of text whose runs are looked up at once
-JOINED = 2048  # runs that the library gets as one text
-#: Patterns no match of which goes on over a blank that a character follows.
+STEP_BYTES = 1 << 23  # of text whose runs are looked up at once
+#: Patterns no match of which goes on over a blank or line end that a character follows.
 CUT_AT_BLANKS = frozenset([r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"])
 CUT = re.compile(r" (?=\S)").split
+#: (line end, letters, sign): matches one after another.  All from U+00C0 to U+024F but two are letters in any version of Unicode.
+WORD_RUN = re.compile(r"(\n(?! )|)( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([" + re.escape("".join(sorted(SIGNS))) + r"]?)").fullmatch
 
 
 class _Model:
@@ -312,53 +314,81 @@ def split_blocks(ids: np.ndarray, block_ids: int) -> list[np.ndarray]:
     return [ids[i:i + block_ids] for i in range(0, len(ids), block_ids)]
 
 
+def _byte_signs() -> dict[int, str]:
+    """Byte -> its sign in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class _Encoder:
     """Ids of texts by the tokenizers library, looked up by run.  ``cuts``: the
-    pattern lets texts be cut at blanks; else runs are the pattern's matches."""
+    pattern lets texts be cut at blanks and line ends; else runs are the pattern's matches."""
 
     def __init__(self, definition: str, pattern: str, most: int):
         import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept = Tokenizer.from_str(definition), Kept(most)
+        self.tokenizer, self.kept, self.kept_runs = Tokenizer.from_str(definition), Kept(most), Kept(most)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cuts, self.split = pattern in CUT_AT_BLANKS, regex.compile(pattern).findall
-        vocabulary = json.loads(definition)["model"]["vocab"]
-        names = vocabulary.items() if isinstance(vocabulary, dict) else []
-        self.bytes_of = np.zeros(max([i for _, i in names], default=0) + 1, np.int64)
-        for name, i in names:  # a byte-level token has a sign for each byte
-            self.bytes_of[i] = len(name)
-        self.signs = {s: self.alone(s) for s in SIGNS}
-
-    def alone(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def learn(self, runs: list[str]) -> Iterator[tuple[str, bytes]]:
-        joined = [r for r in runs if r[0] == " "] if self.cuts else []
-        for i in range(0, len(joined), JOINED):
-            some = joined[i:i + JOINED]
-            text = "".join(some)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
-            ends = np.cumsum(self.bytes_of[np.minimum(ids, len(self.bytes_of) - 1)])
-            stops = np.cumsum([*map(len, some if text.isascii() else map(str.encode, some))])
-            cut = np.searchsorted(ends, stops) + 1
-            if len(ids) and ends[-1] == stops[-1] and np.array_equal(ends[cut - 1], stops):
-                data, cut = ids.tobytes(), (4 * cut).tolist()
-                yield from zip(some, [data[a:b] for a, b in zip([0, *cut], cut)])
-            else:  # tokens that do not spell the text
-                yield from ((r, self.alone(r)) for r in some)
-        yield from ((r, self.alone(r)) for r in runs if not self.cuts or r[0] != " ")
+        spec = json.loads(definition)
+        before = spec.get("pre_tokenizer") or {}
+        plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        #: A match of the file's own pattern needs the library's merges only.
+        self.merges = self.tokenizer.model.tokenize if self.cuts and plain and not spec.get("normalizer") else None
+        self.byte_signs = _byte_signs()
+        self.signs, self.line_ends = {"": b""} | dict(self.learn(list(SIGNS))), {"": b""} | dict(self.learn(["\n"]))
+
+    def learn(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        for p in pieces:
+            if self.merges:
+                tokens = self.merges("\u0120" + p[1:] if p[0] == " " and p[1:].isalpha() and p.isascii() else
+                                     p.encode().decode("latin-1").translate(self.byte_signs))
+                ids = [t.id for t in tokens]
+            else:
+                ids = self.tokenizer.encode(p, add_special_tokens=False).ids
+            yield p, struct.pack(f"<{len(ids)}I", *ids)
+
+    def learn_runs(self, runs: list[str]) -> Iterator[tuple[str, bytes]]:
+        split = [self.split(r) for r in runs] if self.cuts else [[r] for r in runs]
+        distinct = {p for s in split for p in s}
+        of = self.kept.fill(distinct, self.learn)
+        for r, s in zip(runs, split):
+            yield r, b"".join([of[p] for p in s])
+        self.kept.forget_long(distinct)
+
+    def look_up(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs; letters, after a line end or none, alone or before one
+        sign, are matches as they are."""
+        parts, words, others, match = [], set(), set(), WORD_RUN if self.cuts else lambda r: None
+        for r in runs:
+            if found := match(r):
+                part = found.groups()
+                words.add(part[1])
+            else:
+                part = None, r, ""
+                others.add(r)
+            parts.append(part)
+        others.discard("")
+        end_ids, signs = self.line_ends, self.signs
+        of_run = self.kept_runs.fill(others, self.learn_runs)
+        of = self.kept.fill(words, self.learn)
+        out = [(of_run[r] if r else b"") if end is None else end_ids[end] + of[r] + signs[sign] if end or sign else of[r] for end, r, sign in parts]
+        self.kept.forget_long(words)
+        self.kept_runs.forget_long(others)
+        return out
 
     def runs(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(distinct runs, numbers of each text's runs one after another, where each text's begin)."""
         if self.cuts:
-            lists = pc.split_pattern(texts, " ")
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
             found, at = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
             at, number, runs = at - at[0], found.indices.to_numpy(), found.dictionary.to_pylist()
-            astray = np.array([not r or r[0].isspace() for r in runs])
+            astray = np.array([not r or r[0].isspace() and (r[0] != "\n" or r[1:2].isspace() or len(r) == 1) for r in runs])
             inner = astray[number]
             inner[at[:-1]] = False
-            if inner.any():  # blanks that white space follows
+            if inner.any():  # blanks or line ends that white space follows, or a line end after a blank
                 rows = [CUT(t) for t in texts.to_pylist()]
         else:
             rows = [self.split(t) for t in texts.to_pylist()]
@@ -371,28 +401,20 @@ class _Encoder:
         first, where = np.unique(number[at[:-1]], return_inverse=True)
         number = number.copy()
         number[at[:-1]] = len(runs) + where  # a text's first run has no blank before it
-        return [" " + r for r in runs] + [runs[i] for i in first.tolist()], number, at
+        return [r if r[:1] == "\n" else " " + r for r in runs] + [runs[i] for i in first.tolist()], number, at
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id; number of ids of each text)."""
         runs, number, at = self.runs(texts.fill_null(""))
-        pairs = []  # (run, sign after it): letters and one sign are two matches
-        for r in runs:
-            body = r[:-1]
-            sign = self.cuts and r[-1:] in SIGNS and body[1:].isalpha() and body.isascii() and (body[0] == " " or body[0].isalpha())
-            pairs.append((body, r[-1]) if sign else (r, ""))
-        distinct = {r for r, _ in pairs if r}
-        of = self.kept.fill(distinct, self.learn)
-        values = [of[r] + self.signs[s] if s else of[r] if r else b"" for r, s in pairs]
-        self.kept.forget_long(distinct)
+        values = self.look_up(runs)
         values.append(np.array([end_id], dtype="<u4").tobytes())
         pool = np.frombuffer(b"".join(values), dtype="<u4")
         size = np.fromiter(map(len, values), np.int64, len(values)) // 4
         number = np.insert(number, at[1:], len(values) - 1)
         sizes = size[number]
         ends = np.cumsum(sizes)
-        place = np.repeat((np.cumsum(size) - size)[number] - (ends - sizes), sizes)
-        place += np.arange(len(place))
+        place = np.repeat(((np.cumsum(size) - size)[number] - (ends - sizes)).astype(np.int32), sizes)
+        place += np.arange(len(place), dtype=np.int32)
         return pool[place], np.diff(ends[at[1:] + np.arange(len(texts))], prepend=0)
 
 
@@ -405,7 +427,8 @@ def write(df: DataFrame, path: str, tokenizer: str, pattern: str, id_col: str =
     """Write the ids of all texts as token files under ``path``.
 
     ``tokenizer`` is a tokenizer file; ``pattern`` is its splitting pattern;
-    about ``cache_pieces`` runs are kept in each of two generations."""
+    about ``cache_pieces`` matches, and as many runs, are kept in each of two
+    generations."""
     shared = df.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
