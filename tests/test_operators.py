@@ -156,3 +156,22 @@ def test_embedding_text_and_preview(spark):
     long = spark.createDataFrame([("x" * 501,), ("y" * 500,)], "d string")
     p = [r[0] for r in long.select(preview(F.col("d"))).collect()]
     assert p == ["x" * 500 + "...", "y" * 500]
+
+
+def test_hashed_embedder_hashes_a_token_once_and_keeps_every_letter(spark, monkeypatch):
+    """Tokens of earlier texts are not hashed again; letters and digits of any
+    script are told as the pattern tells them."""
+    import regex
+    from quarry.functions.vectors import TOKEN_SPLIT_RE
+    from quarry.operators import embed as N
+    texts = ["İI ΑΣ ΑΣ. Σ", "áb ﬁ ǅ x\x00y z\x1cq", "日本語 １２３ Ⅷ ½ ²", "\U0001F600 \U00020000\U0001D7D8 a_b", "", None, "..."] * 40
+    hashed, md5 = [], N.md5
+    monkeypatch.setattr(N, "_kept", {})
+    monkeypatch.setattr(N, "md5", lambda b: hashed.append(b) or md5(b))
+    want = {t for x in texts for t in regex.split(TOKEN_SPLIT_RE, (x or "").lower()) if t}
+    for _ in range(2):
+        vectors, held = N._hashed_matrix(texts, 64)
+        assert sorted(hashed) == sorted(t.encode() for t in want)
+        assert held.tolist() == ([True] * 4 + [False] * 3) * 40 and np.allclose((vectors ** 2).sum(1), held)
+    got = spark.createDataFrame(list(enumerate(texts[:7])), "i int, t string").select("i", N.hashed_embedder()(F.col("t")).alias("e")).collect()
+    assert [r.e for r in sorted(got)] == [v.tolist() if h else None for v, h in zip(vectors[:7], held)]
