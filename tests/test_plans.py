@@ -125,3 +125,27 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     hot = out.where("k = 'hot'").first()
     assert hot["ord"] == n - max(i for i in range(n) if i % 3 == 0)
     assert out.count() == 1 + sum(1 for i in range(n) if i % 3)
+
+
+def test_stored_stages_leave_no_shuffle_files(spark):
+    """What a stored stage shuffled goes when it is stored, and the session's
+    setting is as before."""
+    from quarry.session import REMOVE_SHUFFLES, materialize
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_") and n.endswith(".data")}
+    before, setting = shuffled(), spark.conf.get(REMOVE_SHUFFLES, None)
+    stored = materialize(spark.range(5000).repartition(5, "id").groupBy((F.col("id") % 700).alias("k")).count())
+    assert shuffled() <= before and spark.conf.get(REMOVE_SHUFFLES, None) == setting
+    assert stored.count() == 700
+
+
+def test_enriched_table_reads_the_documents_texts_once(spark, monkeypatch):
+    """The annotator and the join with its answers read the stored winners."""
+    from quarry.plans import workloads
+    cands = []
+    monkeypatch.setattr(workloads, "annotate_records", lambda c: cands.append(c) or c.select("ord"))
+    workloads._enriched_all(spark, SF_SMALL)
+    assert "documents.parquet" not in cands[0]._jdf.queryExecution().optimizedPlan().toString() + str(cands[0].inputFiles())
